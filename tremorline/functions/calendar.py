@@ -1,4 +1,4 @@
-"""UTC calendar fields of an epoch-millisecond column.
+"""UTC calendar fields of epoch milliseconds.
 
 Worked out from the number itself, so the session time zone has no say, and
 without a date formatter, which costs more than the arithmetic.
@@ -6,73 +6,60 @@ without a date formatter, which costs more than the arithmetic.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 MILLIS_PER_HOUR = 3_600_000
 MILLIS_PER_DAY = 86_400_000
 # Spark keeps timestamps as 64-bit microseconds.
 MAX_MILLIS = (2**63 - 1) // 1000
 
 
-def _as_column(millis: Column | str) -> Column:
-    return F.col(millis) if isinstance(millis, str) else millis
+def _millis_of_day(millis: str) -> str:
+    return f"pmod({millis}, {MILLIS_PER_DAY}L)"
 
 
-def _millis_of_day(millis: Column) -> Column:
-    return F.pmod(millis, F.lit(MILLIS_PER_DAY).cast("bigint"))
+def _two_digits(number: str) -> str:
+    return f"lpad(CAST({number} AS STRING), 2, '0')"
 
 
-def _whole(number: Column, unit: int) -> Column:
-    return F.call_function("div", number, F.lit(unit).cast("bigint")).cast("int")
+def in_timestamp_range(millis: str) -> str:
+    """False for times that no Spark timestamp can hold; null stays null."""
+    return f"({millis} BETWEEN -{MAX_MILLIS} AND {MAX_MILLIS})"
 
 
-def _utc_date(millis: Column) -> Column:
-    return F.date_from_unix_date(_whole(millis - _millis_of_day(millis), MILLIS_PER_DAY))
+def utc_date(millis: str) -> str:
+    """The UTC day as a date."""
+    days = f"({millis} - {_millis_of_day(millis)}) DIV {MILLIS_PER_DAY}L"
+    return f"date_from_unix_date(CAST({days} AS INT))"
 
 
-def _two_digits(number: Column) -> Column:
-    return F.lpad(number.cast("string"), 2, "0")
+def year_text(date: str) -> str:
+    """At least four digits, sign in front; longer years are kept whole."""
+    digits = f"CAST(abs(year({date})) AS STRING)"
+    padded = f"lpad({digits}, greatest(4, length({digits})), '0')"
+    return f"CASE WHEN year({date}) < 0 THEN concat('-', {padded}) ELSE {padded} END"
 
 
-def _year_text(year: Column) -> Column:
-    """At least four digits, sign in front; longer years are kept whole."""
-    digits = F.abs(year).cast("string")
-    padded = F.when(F.length(digits) < 4, F.lpad(digits, 4, "0")).otherwise(digits)
-    return F.when(year < 0, F.concat(F.lit("-"), padded)).otherwise(padded)
+def month_text(date: str) -> str:
+    """Two digits."""
+    return _two_digits(f"month({date})")
 
 
-def in_timestamp_range(millis: Column | str) -> Column:
-    """False for times that no Spark timestamp can hold; null stays null."""
-    return _as_column(millis).between(-MAX_MILLIS, MAX_MILLIS)
-
-
-def calendar_fields(millis: Column | str) -> Column:
-    """struct(year, month, timestamp, date, hour)."""
-    value = _as_column(millis)
-    day = _utc_date(value)
-    year, month, day_of_month = F.year(day), F.month(day), F.dayofmonth(day)
-    hour = _whole(_millis_of_day(value), MILLIS_PER_HOUR)
-    slash = F.lit("/")
-    return F.struct(
-        _year_text(year).alias("year"),
-        _two_digits(month).alias("month"),
-        F.timestamp_millis(value).alias("timestamp"),
-        F.concat(
-            _year_text(year), slash, _two_digits(month), slash, _two_digits(day_of_month)
-        ).alias("date"),
-        _two_digits(hour).alias("hour"),
-    )
-
-
-def day_start(millis: Column | str) -> Column:
+def date_text(date: str) -> str:
+    """year/month/day."""
+    day = _two_digits(f"day({date})")
+    return f"concat({year_text(date)}, '/', {month_text(date)}, '/', {day})"
+
+
+def hour_text(millis: str) -> str:
+    """Two digits, 00 to 23."""
+    return _two_digits(f"{_millis_of_day(millis)} DIV {MILLIS_PER_HOUR}L")
+
+
+def day_start(millis: str) -> str:
     """Midnight UTC of the day, as a zone-less timestamp."""
-    return _utc_date(_as_column(millis)).cast("timestamp_ntz")
+    return f"CAST({utc_date(millis)} AS TIMESTAMP_NTZ)"
 
 
-def utc_wall_clock(millis: Column | str) -> Column:
+def utc_wall_clock(millis: str) -> str:
     """The UTC wall clock as a zone-less timestamp."""
-    value = _as_column(millis)
-    seconds = (_millis_of_day(value) / F.lit(1000)).cast("decimal(18,6)")
-    zero = F.lit(0)
-    return day_start(value) + F.make_dt_interval(zero, zero, zero, seconds)
+    seconds = f"CAST({_millis_of_day(millis)} AS DECIMAL(18,6)) / 1000"
+    return f"{day_start(millis)} + make_dt_interval(0, 0, 0, CAST({seconds} AS DECIMAL(18,6)))"

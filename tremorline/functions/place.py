@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # The two place patterns, tried in this order. Group 1 is the
 # city, group 2 the state.
 DISTANCE_PLACE = r"^.* of (.*)\s*,\s*(.*)\s*$"
@@ -12,23 +9,20 @@ PLAIN_PLACE = r"^\s*(.*)\s*,\s*(.*)\s*$"
 UNKNOWN = "Unknown"
 
 
-def parse_place(place: Column | str) -> Column:
+def _captured(place: str, pattern: str) -> str:
+    return (
+        f"named_struct('state', regexp_extract({place}, r'{pattern}', 2), "
+        f"'city', regexp_extract({place}, r'{pattern}', 1))"
+    )
+
+
+def parse_place(place: str) -> str:
     """struct(state, city); both "Unknown" where no pattern fits or place is null.
 
     The match is tested apart from the extraction because an empty capture is a
     value of its own, and regexp_extract also gives '' where nothing matches.
     """
-    text = F.col(place) if isinstance(place, str) else place
-
-    def captured(pattern: str) -> Column:
-        return F.struct(
-            F.regexp_extract(text, pattern, 2).alias("state"),
-            F.regexp_extract(text, pattern, 1).alias("city"),
-        )
-
-    unknown = F.struct(F.lit(UNKNOWN).alias("state"), F.lit(UNKNOWN).alias("city"))
-    return (
-        F.when(text.rlike(DISTANCE_PLACE), captured(DISTANCE_PLACE))
-        .when(text.rlike(PLAIN_PLACE), captured(PLAIN_PLACE))
-        .otherwise(unknown)
-    )
+    return f"""
+        CASE WHEN {place} RLIKE r'{DISTANCE_PLACE}' THEN {_captured(place, DISTANCE_PLACE)}
+             WHEN {place} RLIKE r'{PLAIN_PLACE}' THEN {_captured(place, PLAIN_PLACE)}
+             ELSE named_struct('state', '{UNKNOWN}', 'city', '{UNKNOWN}') END"""

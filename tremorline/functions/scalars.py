@@ -2,25 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def longitude(coordinates: str) -> Column:
+def longitude(coordinates: str) -> str:
     """First coordinate; null when the array is short or null."""
-    return F.get(coordinates, F.lit(0))
+    return f"get({coordinates}, 0)"
 
 
-def latitude(coordinates: str) -> Column:
+def latitude(coordinates: str) -> str:
     """Second coordinate; null when the array is short or null."""
-    return F.get(coordinates, F.lit(1))
+    return f"get({coordinates}, 1)"
 
 
-def long_to_boolean(number: str) -> Column:
+def long_to_boolean(number: str) -> str:
     """True for 1; false for every other number and for null."""
-    return F.coalesce(F.col(number) == F.lit(1), F.lit(False))
+    return f"coalesce({number} = 1, false)"
 
 
-def null_to_zero(number: str) -> Column:
+def null_to_zero(number: str) -> str:
     """Missing numbers are stored as zero, and so count in averages."""
-    return F.coalesce(F.col(number), F.lit(0))
+    return f"coalesce({number}, 0)"

@@ -6,7 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tremorline.functions import in_timestamp_range
-from tremorline.schemas import CORRUPT_COLUMN, DOCUMENT_SCHEMA, FEATURE_LEAVES
+from tremorline.schemas import (
+    CORRUPT_COLUMN,
+    DOCUMENT_SCHEMA,
+    FEATURE_LEAVES,
+    SEQUENCE_COLUMNS,
+)
 
 
 def decode_documents(landing: DataFrame) -> DataFrame:
@@ -15,37 +20,36 @@ def decode_documents(landing: DataFrame) -> DataFrame:
     The schema is explicit, so nothing depends on what else is in the batch. A
     document that does not decode gives count 0 and no features, and is marked:
     its window stays pending. An absent count is 0.
+
+    Malformed text decodes to a struct of nulls, not to null: only the
+    corrupt-record member tells.
     """
-    parsed = landing.withColumn(
-        "_document",
-        F.from_json("value", DOCUMENT_SCHEMA, {"columnNameOfCorruptRecord": CORRUPT_COLUMN}),
-    ).drop("value")
-    # Malformed text decodes to a struct of nulls, not to null: only the
-    # corrupt-record member tells.
-    is_corrupt = F.col("_document").isNull() | F.col(f"_document.{CORRUPT_COLUMN}").isNotNull()
-    count = F.when(~is_corrupt, F.col("_document.metadata.count"))
-    return parsed.select(
-        *[name for name in parsed.columns if name != "_document"],
-        F.coalesce(count, F.lit(0).cast("bigint")).alias("count"),
-        F.when(~is_corrupt, F.col("_document.features")).alias("features"),
-        is_corrupt.alias("is_corrupt"),
+    decoded = F.from_json("value", DOCUMENT_SCHEMA, {"columnNameOfCorruptRecord": CORRUPT_COLUMN})
+    is_corrupt = f"(_document IS NULL OR _document.{CORRUPT_COLUMN} IS NOT NULL)"
+    carried = [name for name in landing.columns if name != "value"]
+    return landing.withColumn("_document", decoded).selectExpr(
+        *carried,
+        f"CASE WHEN {is_corrupt} THEN 0L ELSE coalesce(_document.metadata.count, 0L) END AS count",
+        f"CASE WHEN NOT {is_corrupt} THEN _document.features END AS features",
+        f"{is_corrupt} AS is_corrupt",
     )
 
 
 def document_counts(decoded: DataFrame) -> DataFrame:
     """One row per document: announced count, usable features, rejected ones."""
-    usable = F.filter(
-        "features",
-        lambda f: f.isNotNull()
-        & F.coalesce(in_timestamp_range(f["properties"]["time"]), F.lit(True)),
-    )
-    total = F.coalesce(F.size("features"), F.lit(0))
-    kept = F.coalesce(F.size(usable), F.lit(0))
-    return decoded.select(
+    in_range = in_timestamp_range("f.properties.time")
+    usable = f"filter(features, f -> f IS NOT NULL AND coalesce({in_range}, true))"
+    return decoded.selectExpr(
+        "doc_seq",
+        "count",
+        "is_corrupt",
+        "coalesce(size(features), 0) AS _all",
+        f"coalesce(size({usable}), 0) AS _usable",
+    ).selectExpr(
         "doc_seq",
         "count",
-        kept.cast("bigint").alias("feature_rows"),
-        (total - kept).cast("bigint").alias("rejected"),
+        "CAST(_usable AS BIGINT) AS feature_rows",
+        "CAST(_all - _usable AS BIGINT) AS rejected",
         "is_corrupt",
     )
 
@@ -53,13 +57,16 @@ def document_counts(decoded: DataFrame) -> DataFrame:
 def explode_features(decoded: DataFrame) -> DataFrame:
     """One row per feature: its leaves and its place in the source.
 
-    An empty or null array gives no row, and neither does a null entry.
+    An empty or null array gives no row, and neither does a null entry. The
+    outer form comes first because for the inner one Spark derives a filter on
+    the array's size and moves it below the decoding, which then runs several
+    times per document.
     """
-    exploded = decoded.select(
-        F.col("doc_seq").alias("_doc_seq"), F.posexplode("features").alias("_position", "_feature")
-    ).where(F.col("_feature").isNotNull())
-    return exploded.select(
-        *[F.col(f"_feature.{path}").alias(leaf) for leaf, path in FEATURE_LEAVES.items()],
-        "_doc_seq",
-        "_position",
+    leaves = [f"_feature.{path} AS {leaf}" for leaf, path in FEATURE_LEAVES.items()]
+    return (
+        decoded.selectExpr(
+            "doc_seq AS _doc_seq", "posexplode_outer(features) AS (_position, _feature)"
+        )
+        .where("_feature IS NOT NULL")
+        .selectExpr(*leaves, *SEQUENCE_COLUMNS)
     )

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tremorline.functions import (
-    calendar_fields,
+    date_text,
+    hour_text,
     in_timestamp_range,
     latitude,
     long_to_boolean,
     longitude,
+    month_text,
     null_to_zero,
     parse_place,
+    utc_date,
+    year_text,
 )
 from tremorline.schemas import RAW_COLUMNS, SEQUENCE_COLUMNS
 
@@ -21,42 +24,47 @@ def normalize_features(features: DataFrame, null_numeric: str = "zero") -> DataF
     """The eleven feature leaves to the nineteen raw columns.
 
     null_numeric: "zero" stores missing time, magnitude and significance as 0;
-    "keep" leaves them null. Place and calendar structs are built once per row
-    and their members read from there. A time that no Spark timestamp can hold
-    gives no row; document_counts reports it as rejected.
+    "keep" leaves them null. The place is parsed and the day found once per
+    row, and their parts read from there. A time that no Spark timestamp can
+    hold gives no row; document_counts reports it as rejected.
     """
     if null_numeric not in ("zero", "keep"):
         raise ValueError(f"null_numeric must be 'zero' or 'keep', not {null_numeric!r}")
-    number = null_to_zero if null_numeric == "zero" else F.col
-
-    timed = features.withColumn("_millis", number("time").cast("bigint"))
-    in_range = F.coalesce(in_timestamp_range("_millis"), F.lit(True))
-    derived = timed.where(in_range).select(
-        "*",
-        parse_place("place").alias("_place"),
-        calendar_fields("_millis").alias("_calendar"),
-    )
+
+    def number(name: str) -> str:
+        return null_to_zero(name) if null_numeric == "zero" else name
+
     raw = {
-        "year": F.col("_calendar.year"),
-        "month": F.col("_calendar.month"),
-        "timestamp": F.col("_calendar.timestamp"),
-        "date": F.col("_calendar.date"),
-        "hour": F.col("_calendar.hour"),
-        "unix_timestamp": F.col("_millis"),
-        "id": F.col("id"),
-        "state": F.col("_place.state"),
-        "city": F.col("_place.city"),
-        "place": F.col("place"),
+        "year": year_text("_day"),
+        "month": month_text("_day"),
+        "timestamp": "timestamp_millis(_millis)",
+        "date": date_text("_day"),
+        "hour": hour_text("_millis"),
+        "unix_timestamp": "_millis",
+        "id": "id",
+        "state": "_place.state",
+        "city": "_place.city",
+        "place": "place",
         "longitude": longitude("coordinates"),
         "latitude": latitude("coordinates"),
-        "magnitude": number("mag").cast("double"),
-        "magnitude_type": F.col("magType"),
+        "magnitude": f"CAST({number('mag')} AS DOUBLE)",
+        "magnitude_type": "magType",
         "tsunami": long_to_boolean("tsunami"),
-        "earthquake_type": F.col("type"),
-        "alert": F.col("alert"),
+        "earthquake_type": "type",
+        "alert": "alert",
         # Narrowed to int; one absurd value must not fail its whole batch.
-        "significant_level": number("sig").try_cast("int"),
-        "network": F.col("net"),
+        "significant_level": f"try_cast({number('sig')} AS INT)",
+        "network": "net",
     }
     carried = [name for name in SEQUENCE_COLUMNS if name in features.columns]
-    return derived.select(*[raw[name].alias(name) for name in RAW_COLUMNS], *carried)
+    in_range = f"coalesce({in_timestamp_range('time')}, true)"
+    return (
+        features.where(in_range)
+        .selectExpr(
+            "*",
+            f"CAST({number('time')} AS BIGINT) AS _millis",
+            f"{utc_date(number('time'))} AS _day",
+            f"{parse_place('place')} AS _place",
+        )
+        .selectExpr(*[f"{raw[name]} AS {name}" for name in RAW_COLUMNS], *carried)
+    )

@@ -10,13 +10,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremorline.functions import day_start
+from tremorline.functions import day_start, utc_date
 from tremorline.schemas import FEATURE_LEAVES
 
 # Most features in one document. Event numbers are unique, so a run of this many
 # numbers holds at most this many features, however full a window is.
 DOCUMENT_FEATURES = 20_000
 
+_TABLES = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE",
+    "customer": "c_custkey BIGINT, c_nationkey INT",
+    "nation": "n_nationkey INT, n_name STRING",
+}
+
 _FEATURES = """
     SELECT
         e.event_id AS arrival,
@@ -49,18 +55,17 @@ _FEATURES = """
 def features(spark: SparkSession, sf_dir: str, per_document: int = DOCUMENT_FEATURES) -> DataFrame:
     """Feature rows as explode_features gives them, plus arrival and window_start."""
     tables = {
-        name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        for name in ("events", "customer", "nation")
+        name: spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
+        for name, schema in _TABLES.items()
     }
-    run = F.call_function("div", F.col("arrival"), F.lit(per_document))
     window_start = day_start("time")
-    day = F.unix_date(window_start.cast("date")).cast("bigint")
-    return spark.sql(_FEATURES, **tables).select(
+    return spark.sql(_FEATURES, **tables).selectExpr(
         *FEATURE_LEAVES,
         "arrival",
-        window_start.alias("window_start"),
-        F.shiftleft(day, 32).bitwiseOR(run).alias("_doc_seq"),
-        F.pmod(F.col("arrival"), F.lit(per_document)).cast("int").alias("_position"),
+        f"{window_start} AS window_start",
+        f"shiftleft(CAST(unix_date({utc_date('time')}) AS BIGINT), 32)"
+        f" | (arrival DIV {per_document}) AS _doc_seq",
+        f"CAST(arrival % {per_document} AS INT) AS _position",
     )
 
 
@@ -71,24 +76,20 @@ def documents(rows: DataFrame) -> DataFrame:
     fixed bound, and a window that holds much of the data gives more documents,
     not a larger one. Features lie in order of arrival.
     """
-    feature = F.struct(
-        "id",
-        F.struct(
-            *[leaf for leaf, path in FEATURE_LEAVES.items() if path.startswith("properties.")]
-        ).alias("properties"),
-        F.struct("coordinates").alias("geometry"),
+    properties = ", ".join(
+        leaf for leaf, path in FEATURE_LEAVES.items() if path.startswith("properties.")
     )
+    feature = f"struct(id, struct({properties}) AS properties, struct(coordinates) AS geometry)"
     packed = rows.groupBy("window_start", F.col("_doc_seq").alias("doc_seq")).agg(
         F.count("*").alias("published_count"),
-        F.sort_array(F.collect_list(F.struct("arrival", feature.alias("feature")))).alias("packed"),
-    )
-    document = F.struct(
-        F.lit("FeatureCollection").alias("type"),
-        F.struct(F.col("published_count").alias("count")).alias("metadata"),
-        F.col("packed.feature").alias("features"),
+        F.expr(f"sort_array(collect_list(struct(arrival, {feature} AS feature)))").alias("packed"),
     )
-    return packed.select(
-        "window_start", "doc_seq", "published_count", F.to_json(document).alias("value")
+    return packed.selectExpr(
+        "window_start",
+        "doc_seq",
+        "published_count",
+        "to_json(struct('FeatureCollection' AS type, struct(published_count AS count) AS metadata,"
+        " packed.feature AS features)) AS value",
     )
 
 

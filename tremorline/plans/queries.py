@@ -12,13 +12,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tremorline.functions import (
-    calendar_fields,
+    date_text,
+    hour_text,
     latitude,
     long_to_boolean,
     longitude,
+    month_text,
     null_to_zero,
     parse_place,
+    utc_date,
     utc_wall_clock,
+    year_text,
 )
 from tremorline.operators.audit import ingest_audit
 from tremorline.operators.documents import decode_documents, document_counts, explode_features
@@ -71,12 +75,8 @@ LOOKUP_YEAR, LOOKUP_MONTH = "2024", "01"
 
 def _zoneless(raw: DataFrame) -> DataFrame:
     """Raw columns with the timestamp as UTC wall clock, comparable anywhere."""
-    return raw.select(
-        *[
-            utc_wall_clock("unix_timestamp").alias(name) if name == "timestamp" else F.col(name)
-            for name in RAW_COLUMNS
-        ]
-    )
+    timestamp = f"{utc_wall_clock('unix_timestamp')} AS timestamp"
+    return raw.selectExpr(*[timestamp if name == "timestamp" else name for name in RAW_COLUMNS])
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,38 +208,40 @@ def normalize_landed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_place_column(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = feed.features(spark, sf_dir).select("id", "place", parse_place("place").alias("p"))
+    parsed = feed.features(spark, sf_dir).selectExpr("id", "place", f"{parse_place('place')} AS p")
     return parsed.select("id", "place", "p.state", "p.city")
 
 
 def lon_lat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feed.features(spark, sf_dir).select(
+    return feed.features(spark, sf_dir).selectExpr(
         "id",
-        longitude("coordinates").alias("longitude"),
-        latitude("coordinates").alias("latitude"),
+        f"{longitude('coordinates')} AS longitude",
+        f"{latitude('coordinates')} AS latitude",
     )
 
 
 def long_to_boolean_column(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feed.features(spark, sf_dir).select("id", long_to_boolean("tsunami").alias("tsunami"))
+    return feed.features(spark, sf_dir).selectExpr(
+        "id", f"{long_to_boolean('tsunami')} AS tsunami"
+    )
 
 
 def time_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = feed.features(spark, sf_dir).select("id", "time", calendar_fields("time").alias("c"))
-    return parts.select(
+    timed = feed.features(spark, sf_dir).selectExpr("id", "time", f"{utc_date('time')} AS day")
+    return timed.selectExpr(
         "id",
-        "c.year",
-        "c.month",
-        "c.date",
-        "c.hour",
-        utc_wall_clock(F.unix_millis("c.timestamp")).alias("timestamp"),
-        F.col("time").alias("unix_timestamp"),
+        f"{year_text('day')} AS year",
+        f"{month_text('day')} AS month",
+        f"{date_text('day')} AS date",
+        f"{hour_text('time')} AS hour",
+        f"{utc_wall_clock('time')} AS timestamp",
+        "time AS unix_timestamp",
     )
 
 
 def null_to_zero_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feed.features(spark, sf_dir).select(
-        "id", null_to_zero("mag").alias("magnitude"), null_to_zero("sig").alias("significant_level")
+    return feed.features(spark, sf_dir).selectExpr(
+        "id", f"{null_to_zero('mag')} AS magnitude", f"{null_to_zero('sig')} AS significant_level"
     )
 
 

@@ -99,12 +99,14 @@ def compact_raw(
     """Write the current rows to a new folder, which serves as the next base.
 
     Ranges over (year, month, timestamp) give files of even size however unevenly
-    the months are filled, and narrow timestamp statistics inside each.
+    the months are filled, and narrow timestamp statistics inside each. The
+    source sequence ends the range key, so that even one timestamp can be split
+    where the caller's keys allow many rows for it.
     """
     newest_first = [*RAW_PARTITIONS, F.desc("timestamp")]
     (
         _reconciled(spark, log, base, keys)
-        .repartitionByRange(*newest_first)
+        .repartitionByRange(*newest_first, *SEQUENCE_COLUMNS)
         .sortWithinPartitions(*newest_first)
         .write.mode("errorifexists")
         .partitionBy(*RAW_PARTITIONS)
