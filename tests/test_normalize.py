@@ -1,0 +1,130 @@
+"""The raw row: names, types and value rules."""
+
+from datetime import datetime, timedelta, timezone
+
+import pytest
+from helpers import HOUR, T0, document, feature, landing
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from tremorline.functions import (
+    date_text,
+    hour_text,
+    in_timestamp_range,
+    long_to_boolean,
+    month_text,
+    utc_date,
+    utc_wall_clock,
+    year_text,
+)
+from tremorline.operators.documents import decode_documents, explode_features
+from tremorline.operators.normalize import normalize_features
+from tremorline.schemas import RAW_COLUMNS, RAW_FIELDS, RAW_LOG_SCHEMA
+
+
+def _raw(spark, *features, **options):
+    docs = landing(spark, document(*features))
+    return normalize_features(explode_features(decode_documents(docs)), **options)
+
+
+def test_names_and_types(spark):
+    raw = _raw(spark, feature("a"))
+    want = spark.createDataFrame([], RAW_LOG_SCHEMA).schema
+    assert raw.columns == want.names and len(RAW_COLUMNS) == len(RAW_FIELDS) == 19
+    assert [f.dataType for f in raw.schema] == [f.dataType for f in want]
+
+
+def test_one_row(spark):
+    row = _raw(
+        spark,
+        feature("a", time=T0 + 13 * HOUR + 123, place="5 km S of X, Y", mag=5, tsunami=1, sig=3),
+    ).first()
+    assert (row.year, row.month, row.date, row.hour) == ("2010", "04", "2010/04/01", "13")
+    assert row.unix_timestamp == T0 + 13 * HOUR + 123
+    assert row.timestamp == datetime(2010, 4, 1, 13, 0, 0, 123000)
+    assert (row.id, row.state, row.city, row.place) == ("a", "Y", "X", "5 km S of X, Y")
+    assert (row.longitude, row.latitude, row.magnitude) == (1.0, 2.0, 5.0)
+    assert (row.magnitude_type, row.tsunami, row.earthquake_type) == ("ml", True, "earthquake")
+    assert (row.alert, row.significant_level, row.network) == (None, 3, "n")
+
+
+def test_missing_values(spark):
+    gaps = feature("z", time=None, place=None, mag=None, tsunami=7, sig=None, coordinates=(1.5,))
+    row = _raw(spark, gaps).first()
+    assert (row.date, row.hour, row.unix_timestamp) == ("1970/01/01", "00", 0)
+    assert (row.magnitude, row.significant_level, row.tsunami) == (0.0, 0, False)
+    assert (row.longitude, row.latitude) == (1.5, None)
+    assert (row.state, row.city, row.place) == ("Unknown", "Unknown", None)
+    kept = _raw(spark, gaps, null_numeric="keep").first()
+    assert (kept.magnitude, kept.significant_level, kept.unix_timestamp) == (None, None, None)
+    assert (kept.year, kept.timestamp, kept.tsunami) == (None, None, False)
+
+
+def test_unknown_null_rule_is_refused(spark):
+    with pytest.raises(ValueError):
+        _raw(spark, feature("a"), null_numeric="drop")
+
+
+def test_significance_beyond_int(spark):
+    assert _raw(spark, feature("a", sig=2**40)).first().significant_level is None
+
+
+def test_long_to_boolean(spark):
+    numbers = spark.createDataFrame([(0,), (1,), (2,), (-1,), (None,)], "n BIGINT")
+    got = [r[0] for r in numbers.selectExpr(long_to_boolean("n")).collect()]
+    assert got == [False, True, False, False, False]
+
+
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.integers(-62_135_596_800_000, 253_402_300_799_999), min_size=300, max_size=300))
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_calendar_in_any_session_zone(spark, zone, times):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = (
+            spark.createDataFrame([(t,) for t in times], "t BIGINT")
+            .selectExpr("t", f"{utc_date('t')} AS d")
+            .selectExpr(
+                year_text("d"),
+                month_text("d"),
+                date_text("d"),
+                hour_text("t"),
+                f"CAST({utc_wall_clock('t')} AS STRING)",
+            )
+            .collect()
+        )
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    for time, row in zip(times, rows):
+        at = EPOCH + timedelta(milliseconds=time)
+        day = f"{at.year:04d}/{at.month:02d}/{at.day:02d}"
+        clock = f"{at.year:04d}-{at.month:02d}-{at.day:02d} {at:%H:%M:%S}"
+        if time % 1000:
+            clock += f".{time % 1000:03d}".rstrip("0")
+        assert tuple(row) == (day[:4], day[5:7], day, f"{at.hour:02d}", clock)
+
+
+def test_years_of_other_lengths(spark):
+    days = spark.sql(
+        "SELECT explode(array(date_from_unix_date(-800000), date_from_unix_date(3000000))) AS d"
+    )
+    got = [r[0] for r in days.selectExpr(year_text("d")).collect()]
+    assert got == ["-0221", "10183"]
+
+
+def test_timestamp_range(spark):
+    limit = (2**63 - 1) // 1000
+    edge = spark.createDataFrame([(limit,), (limit + 1,), (-limit,), (-limit - 1,)], "t BIGINT")
+    assert [r[0] for r in edge.selectExpr(in_timestamp_range("t")).collect()] == [
+        True,
+        False,
+        True,
+        False,
+    ]
+    kept = _raw(spark, feature("a", time=limit), feature("b", time=limit + 1))
+    assert [r[0] for r in kept.select("id").collect()] == ["a"]
+    assert kept.select("year").first()[0] == "294247"

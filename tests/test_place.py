@@ -1,0 +1,71 @@
+"""State and city parsing."""
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tremorline.functions import with_state_and_city
+from tremorline.functions.place import DISTANCE_PLACE, PLAIN_PLACE
+
+GOLDEN = [
+    ("38km WNW of Cobb, California", "California", "Cobb"),
+    ("Southern Alaska", "Unknown", "Unknown"),
+    ("off the coast of Oregon", "Unknown", "Unknown"),
+    ("10 km N of Isle of Wight, UK", "UK", "Wight"),
+    ("10km N of Foo, Gulf of Alaska", "Gulf of Alaska", "Foo"),
+    ("Foo, Gulf of Alaska", "Gulf of Alaska", "Foo"),
+    ("5km N of A, B, C", "C", "A, B"),
+    ("  X , Y ", "Y ", "X "),
+    ("10km S of X, ", "", "X"),
+    ("of X, Y", "Y", "of X"),
+    ("a of , b", "b", ""),
+    (",", "", ""),
+    ("", "Unknown", "Unknown"),
+    (None, "Unknown", "Unknown"),
+    ("1km of A,\nB", "B", "A"),
+    ("A, B\n", "B", "A"),
+    ("1km of É, Ñ\u00a0", "Ñ\u00a0", "É"),
+    ("1km\nof A, B", "Unknown", "Unknown"),
+    ("1km OF A, B", "B", "1km OF A"),
+]
+
+
+def test_golden_places(spark):
+    places = spark.createDataFrame(
+        [(i, place) for i, (place, _, _) in enumerate(GOLDEN)], "i INT, place STRING"
+    )
+    rows = with_state_and_city(places).orderBy("i").collect()
+    assert [(r.place, r.state, r.city) for r in rows] == GOLDEN
+
+
+def _straightforward(places):
+    """The patterns tested first and extracted after, one call per use."""
+    text = F.col("place")
+
+    def part(group):
+        return (
+            F.when(text.rlike(DISTANCE_PLACE), F.regexp_extract(text, DISTANCE_PLACE, group))
+            .when(text.rlike(PLAIN_PLACE), F.regexp_extract(text, PLAIN_PLACE, group))
+            .otherwise("Unknown")
+        )
+
+    return places.select("place", part(2).alias("state"), part(1).alias("city"))
+
+
+_TEXT = st.text(alphabet="a ,of$\\1\n\r\t\u0085\u2028\u2029É", max_size=14)
+_SHAPES = st.one_of(
+    _TEXT,
+    st.builds(lambda a, b, c, d: f"{a} of {b},{c}{d}", _TEXT, _TEXT, _TEXT, _TEXT),
+    st.builds(lambda a, b: f"{a},{b}", _TEXT, _TEXT),
+    st.none(),
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(_SHAPES, min_size=200, max_size=400))
+def test_same_as_testing_and_extracting(spark, texts):
+    places = spark.createDataFrame([(t,) for t in texts], "place STRING")
+    got = with_state_and_city(places).collect()
+    want = _straightforward(places).collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in want]
+    assert all(r.state is not None and r.city is not None for r in got)

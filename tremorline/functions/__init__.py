@@ -1,6 +1,6 @@
-"""Column rules as SQL expression texts.
+"""Column rules as SQL expression texts, and the place parser.
 
-Each function takes the name of a column, or any expression text, and gives an
+Each rule takes the name of a column, or any expression text, and gives an
 expression text for selectExpr, F.expr or a SQL statement. Spark parses a whole
 row's worth of them in one call, where building the same from Column objects
 takes a round trip for every operation: a cost that a one-second micro-batch
@@ -17,7 +17,7 @@ from tremorline.functions.calendar import (
     utc_wall_clock,
     year_text,
 )
-from tremorline.functions.place import parse_place
+from tremorline.functions.place import with_state_and_city
 from tremorline.functions.scalars import latitude, long_to_boolean, longitude, null_to_zero
 
 __all__ = [
@@ -30,8 +30,8 @@ __all__ = [
     "longitude",
     "month_text",
     "null_to_zero",
-    "parse_place",
     "utc_date",
     "utc_wall_clock",
+    "with_state_and_city",
     "year_text",
 ]

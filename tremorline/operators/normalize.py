@@ -13,8 +13,8 @@ from tremorline.functions import (
     longitude,
     month_text,
     null_to_zero,
-    parse_place,
     utc_date,
+    with_state_and_city,
     year_text,
 )
 from tremorline.schemas import RAW_COLUMNS, SEQUENCE_COLUMNS
@@ -42,8 +42,8 @@ def normalize_features(features: DataFrame, null_numeric: str = "zero") -> DataF
         "hour": hour_text("_millis"),
         "unix_timestamp": "_millis",
         "id": "id",
-        "state": "_place.state",
-        "city": "_place.city",
+        "state": "state",
+        "city": "city",
         "place": "place",
         "longitude": longitude("coordinates"),
         "latitude": latitude("coordinates"),
@@ -58,13 +58,11 @@ def normalize_features(features: DataFrame, null_numeric: str = "zero") -> DataF
     }
     carried = [name for name in SEQUENCE_COLUMNS if name in features.columns]
     in_range = f"coalesce({in_timestamp_range('time')}, true)"
-    return (
-        features.where(in_range)
-        .selectExpr(
-            "*",
-            f"CAST({number('time')} AS BIGINT) AS _millis",
-            f"{utc_date(number('time'))} AS _day",
-            f"{parse_place('place')} AS _place",
-        )
-        .selectExpr(*[f"{raw[name]} AS {name}" for name in RAW_COLUMNS], *carried)
+    timed = features.where(in_range).selectExpr(
+        "*",
+        f"CAST({number('time')} AS BIGINT) AS _millis",
+        f"{utc_date(number('time'))} AS _day",
+    )
+    return with_state_and_city(timed).selectExpr(
+        *[f"{raw[name]} AS {name}" for name in RAW_COLUMNS], *carried
     )

@@ -19,9 +19,9 @@ from tremorline.functions import (
     longitude,
     month_text,
     null_to_zero,
-    parse_place,
     utc_date,
     utc_wall_clock,
+    with_state_and_city,
     year_text,
 )
 from tremorline.operators.audit import ingest_audit
@@ -208,8 +208,7 @@ def normalize_landed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_place_column(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = feed.features(spark, sf_dir).selectExpr("id", "place", f"{parse_place('place')} AS p")
-    return parsed.select("id", "place", "p.state", "p.city")
+    return with_state_and_city(feed.features(spark, sf_dir).select("id", "place"))
 
 
 def lon_lat(spark: SparkSession, sf_dir: str) -> DataFrame:
