@@ -24,27 +24,18 @@ def _sequence_from_path() -> Column:
 
 def read_landing_text(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: its publish number and its whole text."""
-    files = (
-        spark.read.schema("value STRING")
-        .option("wholetext", True)
-        .option("recursiveFileLookup", True)
-        .text(path)
-    )
-    return files.select(_sequence_from_path(), "value")
+    files = spark.read.schema("value STRING").option("recursiveFileLookup", True)
+    return files.text(path, wholetext=True).select(_sequence_from_path(), "value")
 
 
 def stream_landing_text(
     spark: SparkSession, path: str, max_files: int | None = None
 ) -> DataFrame:
     """The same files as a stream, at most max_files per micro-batch."""
-    reader = (
-        spark.readStream.schema("value STRING")
-        .option("wholetext", True)
-        .option("recursiveFileLookup", True)
-    )
+    reader = spark.readStream.schema("value STRING").option("recursiveFileLookup", True)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.text(path).select(_sequence_from_path(), "value")
+    return reader.text(path, wholetext=True).select(_sequence_from_path(), "value")
 
 
 def land_text(documents: DataFrame, path: str) -> None:
