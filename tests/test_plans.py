@@ -30,7 +30,7 @@ def stored(spark, tmp_path_factory):
     features = explode_features(decode_documents(read_landing(spark, f"{root}/landing")))
     append_raw(normalize_features(features), f"{root}/log")
     compact_raw(spark, f"{root}/log", f"{root}/base")
-    refresh_hour_counts(spark, f"{root}/hours", base=f"{root}/base")
+    refresh_hour_counts(spark, f"{root}/hours", base=[f"{root}/base"])
     return str(root)
 
 
@@ -73,7 +73,7 @@ def test_aggregates_read_only_their_columns(spark, stored):
 
 
 def test_base_needs_one_shuffle_with_a_partial_step(spark, stored):
-    plan = _plan(count_by_hour(scan_raw(spark, base=f"{stored}/base")))
+    plan = _plan(count_by_hour(scan_raw(spark, base=[f"{stored}/base"])))
     assert plan.count("Exchange hashpartitioning") == 1
     assert "partial_count" in plan and "Window" not in plan
     assert _scan_columns(plan) == {"state", "city", "date", "hour"}
@@ -86,7 +86,7 @@ def test_upsert_cuts_each_key_down_before_the_shuffle(spark, stored):
 
 
 def test_state_filter_reaches_the_base_scan(spark, stored):
-    plan = _plan(count_by_hour(filter_state(scan_raw(spark, base=f"{stored}/base"), "X")))
+    plan = _plan(count_by_hour(filter_state(scan_raw(spark, base=[f"{stored}/base"]), "X")))
     assert "EqualTo(state,X)" in plan
 
 
@@ -100,7 +100,7 @@ def test_month_lookup_prunes_folders_through_the_upsert(spark, stored):
 def test_base_months_the_log_does_not_touch_are_not_shuffled(spark, stored, tmp_path):
     late = landing(spark, (9, document(feature("z", T0 + 1))))
     append_raw(normalize_features(explode_features(decode_documents(late))), str(tmp_path / "r"))
-    both = scan_raw(spark, str(tmp_path / "r"), f"{stored}/base")
+    both = scan_raw(spark, str(tmp_path / "r"), [f"{stored}/base"])
     assert both.count() == 3
     settled, changed = _plan(both).split("Union", 1)[1].split(":-", 1)[1].split("\n   +- ", 1)
     assert "Exchange" not in settled and "NOT " in settled

@@ -70,39 +70,60 @@ def test_scan_of_log_base_and_both(spark, folder):
     append_raw(first, folder("log"))
     assert rows_of(scan_raw(spark, folder("log")), "id") == [("b",), ("c",), ("d",)]
 
-    compact_raw(spark, folder("log"), folder("base"))
-    base = scan_raw(spark, base=folder("base"))
+    bases = compact_raw(spark, folder("log"), folder("base"))
+    base = scan_raw(spark, base=bases)
     assert rows_of(base) == rows_of(scan_raw(spark, folder("log")))
     assert "Exchange" not in base._jdf.queryExecution().toString()
 
     append_raw(second, folder("recent"))
-    both = scan_raw(spark, folder("recent"), folder("base"))
+    both = scan_raw(spark, folder("recent"), bases)
     assert rows_of(both, "id") == [("b",), ("d",), ("e",), ("f",)]
 
     append_raw(second, folder("log"))
     assert rows_of(both) == rows_of(scan_raw(spark, folder("log")))
 
-    compact_raw(spark, folder("recent"), folder("base2"), folder("base"))
-    assert rows_of(scan_raw(spark, base=folder("base2"))) == rows_of(both)
+    # Only the touched month is written again.
+    again = compact_raw(spark, folder("recent"), folder("base2"), bases)
+    assert again == [folder("base"), folder("base2")]
+    assert months_of(read_raw(spark, folder("base2"))) == ["2010-04"]
+    assert rows_of(scan_raw(spark, base=again)) == rows_of(both)
+
+    append_raw(_raw(spark, (3, FIRST)), folder("third"))
+    third = scan_raw(spark, folder("third"), again)
+    assert rows_of(third, "id") == [("b",), ("c",), ("d",), ("f",)]
+    last = compact_raw(spark, folder("third"), folder("base3"), again)
+    assert rows_of(scan_raw(spark, base=last)) == rows_of(third)
 
 
 def test_replayed_old_document_does_not_win_over_the_base(spark, folder):
     append_raw(_raw(spark, (5, SECOND)), folder("log"))
-    compact_raw(spark, folder("log"), folder("base"))
+    bases = compact_raw(spark, folder("log"), folder("base"))
     append_raw(_raw(spark, (1, FIRST)), folder("late"))
-    got = rows_of(scan_raw(spark, folder("late"), folder("base")), "id")
+    got = rows_of(scan_raw(spark, folder("late"), bases), "id")
     assert got == [("b",), ("d",), ("e",), ("f",)]
 
 
 def test_own_keys_with_a_base(spark, folder):
     keys = [*RAW_KEY, "id"]
     append_raw(_raw(spark, FIRST), folder("log"))
-    compact_raw(spark, folder("log"), folder("base"), keys=keys)
+    bases = compact_raw(spark, folder("log"), folder("base"), keys=keys)
     append_raw(_raw(spark, (2, FIRST)), folder("recent"))
-    got = rows_of(scan_raw(spark, folder("recent"), folder("base"), keys), "id")
+    got = rows_of(scan_raw(spark, folder("recent"), bases, keys), "id")
     assert got == [("a",), ("b",), ("c",), ("d",)]
-    only_id = rows_of(scan_raw(spark, folder("recent"), folder("base"), ["id"]), "id")
-    assert only_id == got
+    # Without year and month in the key, everything is reconciled and written.
+    assert rows_of(scan_raw(spark, folder("recent"), bases, ["id"]), "id") == got
+    whole = compact_raw(spark, folder("recent"), folder("base2"), bases, ["id"])
+    assert whole == [folder("base2")]
+    assert rows_of(scan_raw(spark, base=whole), "id") == got
+
+
+def test_rows_without_a_time_stay_through_compaction(spark, folder):
+    gaps = landing(spark, document(feature("n", None), feature("a", T0)))
+    append_raw(normalize_features(explode_features(decode_documents(gaps)), "keep"), folder("log"))
+    bases = compact_raw(spark, folder("log"), folder("base"))
+    append_raw(_raw(spark, (2, FIRST)), folder("recent"))
+    got = rows_of(scan_raw(spark, folder("recent"), bases), "id")
+    assert got == [("b",), ("c",), ("d",), ("n",)]
 
 
 def test_nothing_is_overwritten(spark, folder):
@@ -200,8 +221,16 @@ def test_lookups(spark, folder):
     assert lookup_day_averages(averages, "X", "B", until="2010/04/01").count() == 1
 
 
-def test_storage_order_is_newest_first(spark, folder):
-    append_raw(_raw(spark, (1, FIRST), (2, SECOND)).coalesce(1), folder("log"))
-    stored = read_raw(spark, folder("log")).where(F.col("month") == "04")
+def test_storage_order_of_the_base_is_newest_first(spark, folder):
+    append_raw(_raw(spark, (1, FIRST), (2, SECOND)), folder("log"))
+    compact_raw(spark, folder("log"), folder("base"))
+    stored = read_raw(spark, folder("base")).where(F.col("month") == "04")
     times = [r.unix_timestamp for r in stored.collect()]
-    assert times == sorted(times, reverse=True)
+    assert len(times) == 3 and times == sorted(times, reverse=True)
+
+
+def test_storage_order_of_a_view_is_newest_first_per_place(spark, folder):
+    append_raw(_raw(spark, (1, FIRST), (2, SECOND)), folder("log"))
+    refresh_hour_counts(spark, folder("h"), log=folder("log"))
+    stored = read_view(spark, folder("h"), HOUR_COUNT_SCHEMA).where("city = 'B'").collect()
+    assert [r.hour for r in stored] == ["02", "00"]

@@ -24,7 +24,7 @@ _PLACE = ["state", "city"]
 
 
 def _rows_to_aggregate(
-    spark: SparkSession, log: str | None, base: str | None, months: Sequence[str] | None
+    spark: SparkSession, log: str | None, base: Sequence[str], months: Sequence[str] | None
 ) -> DataFrame:
     current = scan_raw(spark, log, base)
     if months is None:
@@ -36,7 +36,7 @@ def refresh_hour_counts(
     spark: SparkSession,
     target: str,
     log: str | None = None,
-    base: str | None = None,
+    base: Sequence[str] = (),
     previous: str | None = None,
     mode: str = "merge",
     months: Sequence[str] | None = None,
@@ -57,7 +57,7 @@ def refresh_day_averages(
     spark: SparkSession,
     target: str,
     log: str | None = None,
-    base: str | None = None,
+    base: Sequence[str] = (),
     previous: str | None = None,
     mode: str = "merge",
     months: Sequence[str] | None = None,

@@ -132,9 +132,9 @@ def scan_raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "scan")
     raw = _raw(spark, sf_dir)
     append_raw(raw, f"{folder}/first")
-    compact_raw(spark, f"{folder}/first", f"{folder}/base")
+    base = compact_raw(spark, f"{folder}/first", f"{folder}/base")
     append_raw(feed.republished_weekends(raw), f"{folder}/log")
-    return _zoneless(scan_raw(spark, f"{folder}/log", f"{folder}/base"))
+    return _zoneless(scan_raw(spark, f"{folder}/log", base))
 
 
 def upsert_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

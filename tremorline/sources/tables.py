@@ -24,18 +24,13 @@ _LOG_COLUMNS = [*RAW_COLUMNS, *SEQUENCE_COLUMNS]
 
 
 def append_raw(rows: DataFrame, path: str) -> None:
-    """Append normalised rows to the log, newest first within each file.
+    """Append normalised rows to the log.
 
-    No shuffle: each task writes the months it holds. Feed windows are short,
-    so a task holds few months; compact_raw gathers the small files.
+    No shuffle and no order of its own: each task writes the months it holds,
+    and feed windows are short, so those are few. compact_raw gathers the small
+    files and puts the rows in storage order.
     """
-    (
-        rows.select(_LOG_COLUMNS)
-        .sortWithinPartitions(*RAW_PARTITIONS, F.desc("timestamp"))
-        .write.mode("append")
-        .partitionBy(*RAW_PARTITIONS)
-        .parquet(path)
-    )
+    rows.select(_LOG_COLUMNS).write.mode("append").partitionBy(*RAW_PARTITIONS).parquet(path)
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
@@ -48,70 +43,89 @@ def _month() -> Column:
     return F.concat_ws("-", *RAW_PARTITIONS)
 
 
-def months_of(log: DataFrame) -> list[str]:
-    """The (year, month) folders present. One short text per calendar month,
-    whatever the number of rows: safe on the driver."""
-    return [row[0] for row in log.select(_month()).distinct().collect()]
+def months_of(rows: DataFrame) -> list[str]:
+    """The months present, as "year-month". One short text per calendar month,
+    whatever the number of rows, and read from file footers alone."""
+    return [row[0] for row in rows.select(_month()).distinct().collect()]
 
 
-def _reconciled(
-    spark: SparkSession, log: str, base: str | None, keys: Sequence[str]
-) -> DataFrame:
+def _settled(spark: SparkSession, bases: Sequence[str]) -> DataFrame:
+    """The base rows: a month comes from the last folder that has it."""
+    newest = read_raw(spark, bases[-1])
+    if len(bases) == 1:
+        return newest
+    older = _settled(spark, bases[:-1])
+    return older.where(~_month().isin(months_of(newest))).unionByName(newest)
+
+
+def _reconcile(
+    spark: SparkSession, log: str, bases: Sequence[str], keys: Sequence[str]
+) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of the months that the log touches, base rows of the others).
+
+    A key lies in one month, so only months in the log can change: the others
+    stay as they are in the base, unread or read without a shuffle. The
+    conditions are on partition columns and prune folders. Keys without year and
+    month allow no such split; then all rows are in the first part.
+    """
     recent = read_raw(spark, log)
-    if base is None:
-        return latest_by_key(recent, keys)
-    settled = read_raw(spark, base)
+    if not bases:
+        return latest_by_key(recent, keys), None
+    settled = _settled(spark, bases)
     if not set(RAW_PARTITIONS) <= set(keys):
-        return latest_by_key(settled.unionByName(recent), keys)
-    # A key lies in one month, so only the months the log touches can change:
-    # the others are read from the base as they are, without a shuffle. The
-    # condition is on partition columns and prunes folders.
+        return latest_by_key(settled.unionByName(recent), keys), None
     touched = _month().isin(months_of(recent))
     changed = latest_by_key(settled.where(touched).unionByName(recent), keys)
-    return settled.where(~touched).unionByName(changed)
+    return changed, settled.where(~touched)
 
 
 def scan_raw(
     spark: SparkSession,
     log: str | None = None,
-    base: str | None = None,
+    base: Sequence[str] = (),
     keys: Sequence[str] = RAW_KEY,
 ) -> DataFrame:
     """Current raw rows, nineteen columns, one row per key.
 
-    A base comes from compact_raw and is unique already: alone it is a plain
-    scan; with a log, only the months the log touches are reconciled.
+    base: the folders that compact_raw names; they are unique by key already.
+    Alone they are a plain scan; with a log, only the months the log touches
+    are reconciled.
     """
     if log is None:
-        if base is None:
+        if not base:
             raise ValueError("scan_raw needs a log, a base or both")
-        return read_raw(spark, base).select(RAW_COLUMNS)
-    return _reconciled(spark, log, base, keys).select(RAW_COLUMNS)
+        return _settled(spark, base).select(RAW_COLUMNS)
+    changed, others = _reconcile(spark, log, base, keys)
+    current = changed if others is None else others.unionByName(changed)
+    return current.select(RAW_COLUMNS)
 
 
 def compact_raw(
     spark: SparkSession,
     log: str,
     target: str,
-    base: str | None = None,
+    base: Sequence[str] = (),
     keys: Sequence[str] = RAW_KEY,
-) -> None:
-    """Write the current rows to a new folder, which serves as the next base.
-
-    Ranges over (year, month, timestamp) give files of even size however unevenly
-    the months are filled, and narrow timestamp statistics inside each. The
-    source sequence ends the range key, so that even one timestamp can be split
-    where the caller's keys allow many rows for it.
+) -> list[str]:
+    """Write the months the log touches, reconciled with the base, to a new folder.
+
+    Gives the folders that make up the base from then on; months the log does
+    not touch are not rewritten. Rows lie newest first within a month. Ranges
+    over (year, month, timestamp) give files of even size however unevenly the
+    months are filled, and narrow timestamp statistics inside each. The source
+    sequence ends the range key, so that even one timestamp can be split where
+    the caller's keys allow many rows for it.
     """
     newest_first = [*RAW_PARTITIONS, F.desc("timestamp")]
+    changed, others = _reconcile(spark, log, base, keys)
     (
-        _reconciled(spark, log, base, keys)
-        .repartitionByRange(*newest_first, *SEQUENCE_COLUMNS)
+        changed.repartitionByRange(*newest_first, *SEQUENCE_COLUMNS)
         .sortWithinPartitions(*newest_first)
         .write.mode("errorifexists")
         .partitionBy(*RAW_PARTITIONS)
         .parquet(target)
     )
+    return [target] if others is None else [*base, target]
 
 
 def write_view(

@@ -42,21 +42,18 @@ def start_ingest(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         totals = Observation(f"ingest-{batch_id}")
-        # Decoded once for both writes; the cache is rebuilt from the source
-        # should an executor be lost.
-        decoded = decode_documents(batch).persist()
-        try:
-            observed = decoded.observe(
-                totals,
-                F.count(F.lit(1)).alias("documents"),
-                F.coalesce(F.sum(F.col("is_corrupt").cast("bigint")), F.lit(0)).alias("corrupt"),
-                F.coalesce(F.sum("count"), F.lit(0)).alias("measures"),
-            )
-            append_raw(normalize_features(explode_features(decoded), null_numeric), raw_log)
-            document_counts(observed).write.mode("append").parquet(tally_log)
-            on_batch(batch_id, totals.get)
-        finally:
-            decoded.unpersist()
+        # Decoded again for the tallies: cheaper than keeping the decoded
+        # features, which are several times the size of their text.
+        decoded = decode_documents(batch)
+        append_raw(normalize_features(explode_features(decoded), null_numeric), raw_log)
+        tallies = document_counts(decoded).observe(
+            totals,
+            F.count(F.lit(1)).alias("documents"),
+            F.coalesce(F.count_if("is_corrupt"), F.lit(0)).alias("corrupt"),
+            F.coalesce(F.sum("count"), F.lit(0)).alias("measures"),
+        )
+        tallies.write.mode("append").parquet(tally_log)
+        on_batch(batch_id, totals.get)
 
     return (
         documents.writeStream.foreachBatch(write_batch)
