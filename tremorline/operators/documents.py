@@ -43,8 +43,8 @@ def document_counts(decoded: DataFrame) -> DataFrame:
         "doc_seq",
         "count",
         "is_corrupt",
-        "coalesce(size(features), 0) AS _all",
-        f"coalesce(size({usable}), 0) AS _usable",
+        "coalesce(array_size(features), 0) AS _all",
+        f"coalesce(array_size({usable}), 0) AS _usable",
     ).selectExpr(
         "doc_seq",
         "count",
