@@ -11,5 +11,6 @@ from tremorline.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(8, "tremorline-tests", "4g")
+    session.conf.set("spark.sql.shuffle.partitions", "3")
     yield session
     session.stop()

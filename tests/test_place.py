@@ -61,7 +61,7 @@ _SHAPES = st.one_of(
 )
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(_SHAPES, min_size=200, max_size=400))
 def test_same_as_testing_and_extracting(spark, texts):
     places = spark.createDataFrame([(t,) for t in texts], "place STRING")

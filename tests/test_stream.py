@@ -209,6 +209,20 @@ def test_processing_time_trigger(spark, ingest):
     assert ingest.current() == _batch_result(spark, DOCUMENTS[:2])
 
 
+def test_without_tallies(spark, ingest):
+    _write(ingest.source, 1, DOCUMENTS[0])
+    totals = []
+    run_available(
+        stream_landing_text(spark, ingest.source),
+        f"{ingest.root}/raw",
+        None,
+        f"{ingest.root}/checkpoint",
+        on_batch=lambda batch_id, batch: totals.append(batch),
+    )
+    assert totals == [{"documents": 1, "corrupt": 0, "measures": 3}]
+    assert ingest.current() == _batch_result(spark, DOCUMENTS[:1])
+
+
 def test_messages_have_no_key_unless_given(spark):
     docs = landing(spark, "x")
     assert rows_of(to_messages(docs)) == [(None, "x")]

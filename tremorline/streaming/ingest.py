@@ -23,7 +23,7 @@ def _log_batch(batch_id: int, totals: dict) -> None:
 def start_ingest(
     documents: DataFrame,
     raw_log: str,
-    tally_log: str,
+    tally_log: str | None,
     checkpoint: str,
     trigger: dict | None = None,
     null_numeric: str = "zero",
@@ -37,22 +37,25 @@ def start_ingest(
     rows again under the same source sequence, which leaves the current rows and
     the audit as they were.
 
-    on_batch gets the batch's totals: documents, corrupt, measures.
+    on_batch gets the batch's totals, observed on the way: documents, corrupt,
+    measures. tally_log takes one row per document for the audit; None leaves
+    it out.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         totals = Observation(f"ingest-{batch_id}")
-        # Decoded again for the tallies: cheaper than keeping the decoded
-        # features, which are several times the size of their text.
         decoded = decode_documents(batch)
-        append_raw(normalize_features(explode_features(decoded), null_numeric), raw_log)
-        tallies = document_counts(decoded).observe(
+        observed = decoded.observe(
             totals,
             F.count(F.lit(1)).alias("documents"),
-            F.coalesce(F.count_if("is_corrupt"), F.lit(0)).alias("corrupt"),
+            F.count_if("is_corrupt").alias("corrupt"),
             F.coalesce(F.sum("count"), F.lit(0)).alias("measures"),
         )
-        tallies.write.mode("append").parquet(tally_log)
+        append_raw(normalize_features(explode_features(observed), null_numeric), raw_log)
+        if tally_log is not None:
+            # Decoded again: measured at half the cost of keeping the decoded
+            # features, which are several times the size of their text.
+            document_counts(decoded).write.mode("append").parquet(tally_log)
         on_batch(batch_id, totals.get)
 
     return (
@@ -64,7 +67,11 @@ def start_ingest(
 
 
 def run_available(
-    documents: DataFrame, raw_log: str, tally_log: str, checkpoint: str, **options: object
+    documents: DataFrame,
+    raw_log: str,
+    tally_log: str | None,
+    checkpoint: str,
+    **options: object,
 ) -> StreamingQuery:
     """Ingest everything there is, then stop."""
     query = start_ingest(
