@@ -4,12 +4,14 @@ import re
 
 import pytest
 from helpers import T0, document, feature, landing
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from tremorline.operators.documents import decode_documents, explode_features
 from tremorline.operators.normalize import normalize_features
 from tremorline.operators.serving import lookup_hour_counts, lookup_raw_month
 from tremorline.operators.views import avg_magnitude_by_day, count_by_hour, filter_state
-from tremorline.plans.jobs import refresh_hour_counts
+from tremorline.plans.jobs import _rows_to_aggregate, refresh_hour_counts
 from tremorline.plans.queries import QUERIES
 from tremorline.schemas import HOUR_COUNT_SCHEMA
 from tremorline.sources.landing import land, read_landing
@@ -64,6 +66,24 @@ def test_documents_are_decoded_once(spark, stored):
     assert "Exchange" not in plan
 
 
+def test_documents_are_decoded_once_while_observed(spark, stored):
+    observed = decode_documents(read_landing(spark, f"{stored}/landing")).observe(
+        Observation("plan"), F.sum("count").alias("measures"), F.count_if("is_corrupt").alias("bad")
+    )
+    plan = _plan(normalize_features(explode_features(observed)))
+    assert "CollectMetrics" in plan and plan.count("from_json(") == 1
+
+
+def test_month_refresh_prunes_folders(spark, stored):
+    for rows in (
+        _rows_to_aggregate(spark, f"{stored}/log", (), ["2010-04"]),
+        _rows_to_aggregate(spark, None, [f"{stored}/base"], ["2010-04"]),
+    ):
+        plan = _plan(count_by_hour(rows))
+        pruned = re.search(r"PartitionFilters: \[([^\]]*)\]", plan).group(1)
+        assert "concat_ws" in pruned and "2010-04" in pruned
+
+
 def test_aggregates_read_only_their_columns(spark, stored):
     key = {"timestamp", "_doc_seq", "_position"}
     hours = _plan(count_by_hour(scan_raw(spark, f"{stored}/log")))

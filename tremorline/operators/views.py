@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from tremorline.schemas import DAY_AVERAGE_KEY, HOUR_COUNT_KEY
 
-# The name under which SQL text finds the current raw rows.
+# The name under which SQL text finds the current raw rows, and
+# the two statements that are run against it.
 RAW_VIEW = "raw_data"
-
 HOUR_COUNT_SQL = """
     SELECT state, city, date, hour, count(*) AS count
     FROM raw_data
