@@ -5,6 +5,7 @@ from datetime import datetime
 
 import pytest
 from helpers import DAY, HOUR, T0, document, feature, landing, rows_of
+from pyspark.errors import AnalysisException
 
 from tremorline.operators.audit import ingest_audit
 from tremorline.operators.documents import decode_documents, document_counts, explode_features
@@ -27,7 +28,13 @@ from tremorline.sources.landing import (
     stream_landing_text,
 )
 from tremorline.sources.tables import read_raw, read_view, scan_raw
-from tremorline.sources.topic import documents_from_records, to_messages
+from tremorline.sources.topic import (
+    documents_from_records,
+    publish_to_topic,
+    read_topic,
+    stream_topic,
+    to_messages,
+)
 from tremorline.streaming.ingest import run_available, start_ingest
 
 # Days 1 to 6; each pair of neighbours collides in one millisecond.
@@ -229,6 +236,17 @@ def test_messages_have_no_key_unless_given(spark):
     assert to_messages(docs).schema.names == ["key", "value"]
 
 
+@pytest.mark.parametrize("use", ["read", "stream", "write"])
+def test_topic_adapters_ask_for_the_kafka_source(spark, use):
+    calls = {
+        "read": lambda: read_topic(spark, "broker:9092", "events"),
+        "stream": lambda: stream_topic(spark, "broker:9092", "events", 100),
+        "write": lambda: publish_to_topic(to_messages(landing(spark, "x")), "broker:9092", "t"),
+    }
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        calls[use]()
+
+
 def test_topic_records_keep_their_order(spark):
     records = spark.createDataFrame(
         [(0, 1, bytearray(b"b")), (0, 0, bytearray(b"a")), (3, 0, bytearray(b"c"))],

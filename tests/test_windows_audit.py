@@ -3,7 +3,7 @@
 from datetime import datetime
 
 from helpers import document, feature, landing, rows_of
-from tremorline.operators.audit import ingest_audit
+from tremorline.operators.audit import ingest_audit, publications
 from tremorline.operators.documents import decode_documents, document_counts
 from tremorline.operators.windows import FEED_START, pending_windows, plan_windows
 from tremorline.schemas import PUBLICATION_SCHEMA
@@ -76,3 +76,11 @@ def test_audit_shows_lost_corrupt_and_repeated_attempts(spark):
     published = _published(spark, (1, 1, 2), (2, 2, 4), (3, 3, 1), (3, 4, 1))
     got = _audit(spark, published, (2, "{bad"), (4, one))
     assert got == [(1, 2, 0, 2, 0, 2), (2, 4, 0, 6, 0, 6), (3, 2, 1, 8, 1, 7)]
+
+
+def test_publications_read_the_announced_count(spark):
+    docs = landing(spark, document(feature("a"), count=5), '{"metadata":{}}', "{bad")
+    sent = docs.selectExpr("TIMESTAMP_NTZ '2010-04-01 00:00:00' AS window_start", "*")
+    got = publications(sent)
+    assert rows_of(got, "doc_seq", "published_count") == [(1, 5), (2, 0), (3, 0)]
+    assert got.columns == [field.split()[0] for field in PUBLICATION_SCHEMA.split(", ")]

@@ -5,11 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tremorline.operators.documents import decode_documents
 
-def ingest_audit(publications: DataFrame, tallies: DataFrame) -> DataFrame:
+
+def publications(documents: DataFrame) -> DataFrame:
+    """What the publisher notes of documents (window_start, doc_seq, value) that
+    it sends: each one's announced count, read from the document itself."""
+    return decode_documents(documents).select(
+        "window_start", "doc_seq", F.col("count").alias("published_count")
+    )
+
+
+def ingest_audit(published: DataFrame, tallies: DataFrame) -> DataFrame:
     """Counts and running totals per window; diff is published less processed.
 
-    publications: one row per publish attempt (window_start, doc_seq,
+    published: one row per publish attempt (window_start, doc_seq,
     published_count); every attempt counts. tallies: per processed document
     (doc_seq, count); a replayed document counts once.
 
@@ -19,7 +29,7 @@ def ingest_audit(publications: DataFrame, tallies: DataFrame) -> DataFrame:
     """
     processed = tallies.groupBy("doc_seq").agg(F.max("count").alias("processed_rows"))
     # A document published twice under one number was still processed once.
-    attempts = publications.groupBy("window_start", "doc_seq").agg(
+    attempts = published.groupBy("window_start", "doc_seq").agg(
         F.sum("published_count").alias("published_count")
     )
     per_window = (

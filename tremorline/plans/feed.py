@@ -70,7 +70,7 @@ def features(spark: SparkSession, sf_dir: str, per_document: int = DOCUMENT_FEAT
 
 
 def documents(rows: DataFrame) -> DataFrame:
-    """Pack features into documents: (window_start, doc_seq, published_count, value).
+    """Pack features into documents: (window_start, doc_seq, value).
 
     One document per window and run of arrivals: the size of a document has a
     fixed bound, and a window that holds much of the data gives more documents,
@@ -81,25 +81,17 @@ def documents(rows: DataFrame) -> DataFrame:
     )
     feature = f"struct(id, struct({properties}) AS properties, struct(coordinates) AS geometry)"
     packed = rows.groupBy("window_start", F.col("_doc_seq").alias("doc_seq")).agg(
-        F.count("*").alias("published_count"),
+        F.count("*").alias("features"),
         F.expr(f"sort_array(collect_list(struct(arrival, {feature} AS feature)))").alias("packed"),
     )
     return packed.selectExpr(
         "window_start",
         "doc_seq",
-        "published_count",
-        "to_json(struct('FeatureCollection' AS type, struct(published_count AS count) AS metadata,"
+        "to_json(struct('FeatureCollection' AS type, struct(features AS count) AS metadata,"
         " packed.feature AS features)) AS value",
     )
 
 
-def publications(rows: DataFrame) -> DataFrame:
-    """What the publisher notes about those documents."""
-    return rows.groupBy("window_start", F.col("_doc_seq").alias("doc_seq")).agg(
-        F.count("*").alias("published_count")
-    )
-
-
 def damage_weekends(landed: DataFrame) -> DataFrame:
     """The same documents, those of weekend windows no longer valid JSON."""
     weekend = F.dayofweek("window_start").isin(1, 7)

@@ -24,7 +24,7 @@ from tremorline.functions import (
     with_state_and_city,
     year_text,
 )
-from tremorline.operators.audit import ingest_audit
+from tremorline.operators.audit import ingest_audit, publications
 from tremorline.operators.documents import decode_documents, document_counts, explode_features
 from tremorline.operators.normalize import normalize_features
 from tremorline.operators.serving import (
@@ -273,9 +273,9 @@ def sql_avg_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_audit_after_damage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    published = feed.publications(feed.features(spark, sf_dir))
-    processed = document_counts(decode_documents(_damaged(spark, sf_dir)))
-    return ingest_audit(published, processed)
+    sent = _landing(spark, sf_dir)
+    received = feed.damage_weekends(sent)
+    return ingest_audit(publications(sent), document_counts(decode_documents(received)))
 
 
 # Serving
