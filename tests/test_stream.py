@@ -192,7 +192,7 @@ def test_landed_text_round_trip(spark, tmp_path):
     land_text(docs, str(tmp_path / "landed"))
     landed = read_landing_text(spark, str(tmp_path / "landed"))
     # Spark ends a written text with a line break; the document is the same.
-    assert rows_of(landed.selectExpr("doc_seq", "rtrim('\\n', value)")) == rows_of(docs)
+    assert rows_of(landed.selectExpr("doc_seq", "trim(TRAILING '\\n' FROM value)")) == rows_of(docs)
     _write(str(tmp_path / "files"), 42, "line one\nline two")
     assert rows_of(read_landing_text(spark, str(tmp_path / "files"))) == [
         (42, "line one\nline two")

@@ -27,7 +27,7 @@ def with_state_and_city(rows: DataFrame, place: str = "place") -> DataFrame:
     loses at least the comma between them. Empty captures stay empty.
     """
     fits = f"_captures <> {place}"
-    city = f"rtrim('{_LINE_ENDS}', substring_index(_captures, '\\n', -1))"
+    city = f"trim(TRAILING '{_LINE_ENDS}' FROM substring_index(_captures, '\\n', -1))"
     return (
         rows.selectExpr("*", f"{_captures(place, DISTANCE_PLACE)} AS _distance")
         .selectExpr(
