@@ -10,6 +10,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -37,7 +38,8 @@ def main() -> None:
     cores = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
-    spark = local_session(cores, "tremorline-bench", "16g")
+    scratch = f"file://{tempfile.mkdtemp(prefix='tremorline-bench-')}"
+    spark = local_session(cores, "tremorline-bench", "16g", scratch)
 
     def seconds(name: str) -> float:
         started = time.perf_counter()

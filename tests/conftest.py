@@ -9,8 +9,9 @@ from tremorline.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, "tremorline-tests", "4g")
+def spark(tmp_path_factory):
+    scratch = tmp_path_factory.mktemp("shared").as_uri()
+    session = local_session(8, "tremorline-tests", "4g", scratch)
     session.conf.set("spark.sql.shuffle.partitions", "3")
     yield session
     session.stop()
