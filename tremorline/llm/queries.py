@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tremorline.llm.content_sort import drop_exact_copies
+from tremorline.llm.jaccard_join import jaccard_components
 from tremorline.llm.mixing import mix
 from tremorline.llm.url_rules import judge_urls
 
@@ -37,8 +38,13 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op6_url_filters": op6_url_filters,
     "op8_source_mix": op8_source_mix,
+    "op9_ngram_jaccard": op9_ngram_jaccard,
 }
