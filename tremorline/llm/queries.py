@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tremorline.llm.content_sort import drop_exact_copies
 from tremorline.llm.jaccard_join import jaccard_components
+from tremorline.llm.language_ppm import identify, train
 from tremorline.llm.mixing import mix
 from tremorline.llm.url_rules import judge_urls
 
@@ -23,10 +25,22 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _fold(folds: int) -> Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds, F.lit(-1))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_exact_copies(_table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = _fold(4) == 2
+    model = train(docs.where(~held_out))
+    judged = identify(docs.select("doc_id", "text", held_out.alias("held_out")), model)
+    return judged.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host STRING, path STRING, verdict STRING")
     judged = judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), rules)
@@ -44,6 +58,7 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_language_id": op5_language_id,
     "op6_url_filters": op6_url_filters,
     "op8_source_mix": op8_source_mix,
     "op9_ngram_jaccard": op9_ngram_jaccard,
