@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tremorline.llm.content_sort import drop_exact_copies
+from tremorline.llm.decontaminate import contaminated_passages
 from tremorline.llm.jaccard_join import jaccard_components
 from tremorline.llm.language_ppm import identify, train
 from tremorline.llm.mixing import mix
+from tremorline.llm.token_files import token_index
 from tremorline.llm.url_rules import judge_urls
 
 URL_RULES = [
@@ -33,6 +35,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_exact_copies(_table(spark, sf_dir, "documents"))
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated_passages(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = _fold(4) == 2
@@ -56,10 +62,22 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_index(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_language_id": op5_language_id,
     "op6_url_filters": op6_url_filters,
     "op8_source_mix": op8_source_mix,
     "op9_ngram_jaccard": op9_ngram_jaccard,
+    "op10_token_files": op10_token_files,
 }
