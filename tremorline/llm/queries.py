@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tremorline.llm import suffix_tree_lm
 from tremorline.llm.content_sort import drop_exact_copies
 from tremorline.llm.decontaminate import contaminated_passages
 from tremorline.llm.jaccard_join import jaccard_components
@@ -53,6 +54,14 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = _fold(5) == 1
+    model = suffix_tree_lm.train(docs.where(~held_out))
+    scored = suffix_tree_lm.score(docs.select("doc_id", "text", held_out.alias("held_out")), model)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -77,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_language_id": op5_language_id,
     "op6_url_filters": op6_url_filters,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_source_mix": op8_source_mix,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_token_files": op10_token_files,
