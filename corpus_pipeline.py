@@ -5,16 +5,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tremorline.llm.common import saved
+from tremorline.llm.decontaminate import clean_documents
+from tremorline.llm.jaccard_join import one_of_each_group
+from tremorline.llm.language_ppm import readable_documents
 from tremorline.llm.mixing import mixed_documents
+from tremorline.llm.queries import tokenizer_path
+from tremorline.llm.token_files import token_index
 
 
-def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Reject documents in no recognisable language."""
+    return readable_documents(docs)
+
+
+def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near-duplicates: the one with the smallest id."""
+    return one_of_each_group(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Remove documents that hold a copy of a benchmark item."""
+    return clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat or leave out documents so that sources meet their target weights."""
     return mixed_documents(docs)
 
 
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Write token files and return their index as read back, one row per document written."""
+    return token_index(docs, tokenizer_path())
+
+
 STAGES = [
-    ("mixing", mixing),
+    ("language_id", language_id),
+    ("ngram_jaccard", ngram_jaccard),
+    ("decontamination", decontamination),
+    ("source_mix", source_mix),
+    ("token_output", token_output),
 ]
 
 # Language models, alignments and tokenizers are beyond SQL.

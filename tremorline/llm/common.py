@@ -31,3 +31,29 @@ def saved(df: DataFrame, label: str) -> DataFrame:
 def word_count(text: Column) -> Column:
     """Number of words; null counts 0."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("bigint")
+
+
+# Slots of the filter that picks rows by id: a bitmap of 8 MB, whatever the input.
+_SLOTS = 1 << 26
+
+
+def rows_of_ids(rows: DataFrame, ids: DataFrame, column: str = "id") -> DataFrame:
+    """The rows whose id is among ids, and perhaps a few more; no shuffle of rows.
+
+    Ids are hashed to the bits of a bitmap of fixed size, which is broadcast.
+    """
+    slot = F.pmod(F.xxhash64(column), F.lit(_SLOTS))
+    bitmaps = (
+        ids.select(slot.alias("_slot"))
+        .groupBy(F.bitmap_bucket_number("_slot").alias("_bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bitmap"))
+    )
+    place = F.bitmap_bit_position("_slot")
+    byte = F.substring(F.col("_bitmap"), F.floor(place / 8).cast("int") + 1, F.lit(1))
+    return (
+        rows.withColumn("_slot", slot)
+        .withColumn("_bucket", F.bitmap_bucket_number("_slot"))
+        .join(F.broadcast(bitmaps), "_bucket")
+        .where(F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (place % 8).cast("int")) == 1)
+        .drop("_slot", "_bucket", "_bitmap")
+    )

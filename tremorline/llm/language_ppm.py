@@ -213,3 +213,19 @@ def identify(docs: DataFrame, model: PpmModel, text_column: str = "text") -> Dat
 
     added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     return docs.mapInArrow(score, T.StructType([*kept, *added]))
+
+
+def readable_documents(docs: DataFrame, least_score: float = 0.5, text_column: str = "text", **options) -> DataFrame:
+    """The documents whose language is recognised, with the columns they have.
+
+    Rejected are texts without a letter and those of which no learned language
+    has at least least_score. The model is trained on the labelled ones among
+    the documents; without any, only texts without a letter are rejected.
+    """
+    clash = {c: f"_kept_{c}" for c in docs.columns if c.lower() in {"lang_pred", "score"}}
+    model = train(docs, text_column=text_column, **options)
+    if not model.languages:
+        return docs.where(F.col(text_column).rlike(r"\p{L}"))
+    judged = identify(docs.withColumnsRenamed(clash), model, text_column)
+    known = judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
+    return known.select(*[F.col(f"`{clash.get(c, c)}`").alias(c) for c in docs.columns])

@@ -83,4 +83,23 @@ SELECT doc_id, size, source_size, target,
 FROM b
 """
 
-ORACLES = {"op3_exact_dedup": OP3, "op6_url_filters": OP6, "op8_source_mix": OP8}
+OP1 = """
+WITH p AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+           sha256(coalesce(html, '')) AS payload_digest
+    FROM pages
+), f AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+ORACLES = {
+    "op1_warc_records": OP1,
+    "op3_exact_dedup": OP3,
+    "op6_url_filters": OP6,
+    "op8_source_mix": OP8,
+}

@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from tremorline.llm import suffix_tree_lm
 from tremorline.llm.content_sort import drop_exact_copies
 from tremorline.llm.decontaminate import contaminated_passages
+from tremorline.llm.fuzzy_lines import fuzzy_line_groups
 from tremorline.llm.jaccard_join import jaccard_components
 from tremorline.llm.language_ppm import identify, train
 from tremorline.llm.mixing import mix
 from tremorline.llm.token_files import token_index
 from tremorline.llm.url_rules import judge_urls
+from tremorline.llm.warc import chunk_table, payload_index, read_warc, warc_records, write_warc
+from tremorline.session import scratch_path
 
 URL_RULES = [
     ("net", "/", "block"),
@@ -32,6 +35,23 @@ def _fold(folds: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds, F.lit(-1))
 
 
+def op1_warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc_records(_table(spark, sf_dir, "pages"), "page_id", "url", "html")
+    manifest = write_warc(chunk_table(records), scratch_path(spark, "warc"))
+    index = payload_index(read_warc(manifest, with_data=False))
+    return index.select(
+        F.col("record_id").cast("bigint").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"),
+    )
+
+
+def op2_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_line_groups(_table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_exact_copies(_table(spark, sf_dir, "documents"))
 
@@ -82,6 +102,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_records": op1_warc_records,
+    "op2_fuzzy_lines": op2_fuzzy_lines,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_language_id": op5_language_id,
