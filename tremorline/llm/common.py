@@ -37,10 +37,11 @@ def word_count(text: Column) -> Column:
 _SLOTS = 1 << 26
 
 
-def rows_of_ids(rows: DataFrame, ids: DataFrame, column: str = "id") -> DataFrame:
-    """The rows whose id is among ids, and perhaps a few more; no shuffle of rows.
+def marked(rows: DataFrame, ids: DataFrame, column: str, mark: str = "_marked") -> DataFrame:
+    """Rows with a mark: false only if their id is not among ids; no shuffle of rows.
 
-    Ids are hashed to the bits of a bitmap of fixed size, which is broadcast.
+    Ids are hashed to the bits of a bitmap of fixed size, which is broadcast. The
+    fuller it is, the more other rows are marked too.
     """
     slot = F.pmod(F.xxhash64(column), F.lit(_SLOTS))
     bitmaps = (
@@ -50,10 +51,16 @@ def rows_of_ids(rows: DataFrame, ids: DataFrame, column: str = "id") -> DataFram
     )
     place = F.bitmap_bit_position("_slot")
     byte = F.substring(F.col("_bitmap"), F.floor(place / 8).cast("int") + 1, F.lit(1))
+    bit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (place % 8).cast("int"))
     return (
         rows.withColumn("_slot", slot)
         .withColumn("_bucket", F.bitmap_bucket_number("_slot"))
-        .join(F.broadcast(bitmaps), "_bucket")
-        .where(F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (place % 8).cast("int")) == 1)
+        .join(F.broadcast(bitmaps), "_bucket", "left")
+        .withColumn(mark, F.col("_bitmap").isNotNull() & (bit == 1))
         .drop("_slot", "_bucket", "_bitmap")
     )
+
+
+def rows_of_ids(rows: DataFrame, ids: DataFrame, column: str = "id") -> DataFrame:
+    """The rows whose id is among ids, and perhaps a few more; no shuffle of rows."""
+    return marked(rows, ids, column).where("_marked").drop("_marked")

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tremorline.llm.common import saved
+from tremorline.llm.common import marked, rows_of_ids, saved
 from tremorline.llm.components import components
 from tremorline.llm.words import shingles, slices, split_words, utf8
 
@@ -22,11 +22,12 @@ PERCENT = 80
 _LENGTH_BITS = 20
 _BLOCK = 4096
 
-# Bits of a document's set outline, in longs of 64.
-_OUTLINE_LONGS = 8
+# Least bits of a set's outline. An outline has at least as many bits as its set
+# has members, by powers of two: enough to tell unrelated sets of any size apart.
+_OUTLINE_BITS = 512
 
-# Slots of the filter that picks texts to read again: a fixed 8 MB.
-_SLOTS = 1 << 26
+# Bits of the first, coarse look inside a list.
+_COARSE_LONGS = 4
 
 _A_TO_Z = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -40,6 +41,12 @@ def _sets(batch: pa.RecordBatch, text_column: str, width: int) -> Iterator[np.nd
         yield np.unique(hashes[start:end])
 
 
+def _list_array(arrays: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, arrays)])
+    values = np.concatenate([a.view(np.int64) for a in arrays])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+
+
 def _list_lengths(texts: DataFrame, width: int) -> np.ndarray:
     """Counters of how many documents hold a shingle, at the shingle's top bits.
 
@@ -96,20 +103,16 @@ def _short_lists(texts: DataFrame, lengths: np.ndarray, width: int, percent: int
                 lists.append(found[by_length[: n - least + 1]] if n else found)
                 sizes.append(n)
                 digests.append(hashlib.sha256(found.tobytes()).digest())
-                bits = np.bincount((found % np.uint64(64 * _OUTLINE_LONGS)).astype(np.int64), minlength=64 * _OUTLINE_LONGS)
+                width_of = max(_OUTLINE_BITS, 1 << (max(n, 1) - 1).bit_length())
+                bits = np.bincount((found & np.uint64(width_of - 1)).astype(np.int64), minlength=width_of)
                 outlines.append(np.packbits((bits & 1).astype(np.uint8), bitorder="little").view("<i8"))
-            ends = np.cumsum([0, *map(len, lists)])
-            values = pa.array(np.concatenate(lists).view(np.int64))
-            each = np.concatenate(outlines)
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id"),
                     "n": pa.array(sizes, pa.int64()),
                     "digest": pa.array(digests, pa.binary()),
-                    "lists": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values),
-                    "outline": pa.ListArray.from_arrays(
-                        pa.array(np.arange(len(lists) + 1) * _OUTLINE_LONGS, pa.int32()), pa.array(each)
-                    ),
+                    "lists": _list_array(lists),
+                    "outline": _list_array(outlines),
                 }
             )
 
@@ -119,26 +122,8 @@ def _short_lists(texts: DataFrame, lengths: np.ndarray, width: int, percent: int
 
 
 def _sets_of(texts: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """(id, members) for at least the given ids, by reading their texts again.
-
-    A bitmap of fixed size passes the texts of these ids and perhaps a few more.
-    """
-    slot = F.pmod(F.xxhash64("id"), F.lit(_SLOTS))
-    bitmaps = (
-        ids.select(slot.alias("slot"))
-        .groupBy(F.bitmap_bucket_number("slot").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bitmap"))
-    )
-    place = F.bitmap_bit_position("slot")
-    byte = F.substring(F.col("bitmap"), F.floor(place / 8).cast("int") + 1, F.lit(1))
-    picked = (
-        texts.select(F.col("doc_id").alias("id"), "text")
-        .withColumn("slot", slot)
-        .withColumn("bucket", F.bitmap_bucket_number("slot"))
-        .join(F.broadcast(bitmaps), "bucket")
-        .where(F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (place % 8).cast("int")) == 1)
-        .select("id", "text")
-    )
+    """(id, members) for at least the given ids, by reading their texts again."""
+    picked = rows_of_ids(texts.select(F.col("doc_id").alias("id"), "text"), ids)
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -206,36 +191,50 @@ def jaccard_components(
     found = saved(_short_lists(texts, lengths, width, percent), "short-lists")
     alone = (F.col("n") == 0) | F.col("doc_id").isNull()
     unique = saved(
-        found.where(~alone)
-        .groupBy("digest")
-        .agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("lists").alias("lists"), F.first("outline").alias("outline")),
-        "unique-sets",
+        found.where(~alone).groupBy("digest").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies")), "unique-sets"
     )
-    in_list = Window.partitionBy("list").orderBy("id")
+    # Sets without a copy stay where they are; of the others one row is picked.
+    copied = marked(found.where(~alone), unique.where("copies > 1"), "digest", "copied")
+    picked = copied.where("copied").join(unique.select("id"), F.col("doc_id") == F.col("id"), "left_semi")
+    lists = copied.where("NOT copied").unionByName(picked).select(F.col("doc_id").alias("id"), F.col("n").cast("int").alias("n"), "lists")
+    # A document whose neighbours by size in a list are too small and too large
+    # for a link has none in this list.
+    by_size = Window.partitionBy("list").orderBy("n", "id")
     shared = saved(
-        unique.select("id", F.explode("lists").alias("list"))
-        .select("id", "list", F.lag("id").over(in_list).alias("before"), F.lead("id").over(in_list).alias("after"))
-        .where("before IS NOT NULL OR after IS NOT NULL")
+        lists.select("id", "n", F.explode("lists").alias("list"))
+        .select("id", "n", "list", F.lag("n").over(by_size).alias("smaller"), F.lead("n").over(by_size).alias("larger"))
+        .where(f"smaller * 100L >= n * {percent}L OR n * 100L >= larger * {percent}L")
         .select("id", "list"),
         "shared-lists",
     )
     # The more of its short lists a document shares, the more typical it is.
+    shares = shared.groupBy("id").agg(F.count("*").alias("shares"))
     about = saved(
-        unique.join(shared.groupBy("id").agg(F.count("*").alias("shares")), "id").select(
-            "id", "n", "outline", (F.col("shares") / F.size("lists")).alias("typical")
-        ),
+        shares.join(
+            found.select("doc_id", "n", "outline", (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).alias("short")),
+            F.col("id") == F.col("doc_id"),
+        ).select("id", "n", "outline", (F.col("shares") / F.col("short")).alias("typical")),
         "outlines",
     )
 
-    def similar(one: str, other: str):
-        sizes = (F.col(f"{one}.n") * 100 >= F.col(f"{other}.n") * percent) & (
-            F.col(f"{other}.n") * 100 >= F.col(f"{one}.n") * percent
+    # Sets that link differ in at most (n + m) * (100 - percent) / (100 + percent)
+    # members, and parity outlines in no more bits than sets in members.
+    sizes = "one.n * 100 >= other.n * {0} AND other.n * 100 >= one.n * {0}".format(percent)
+    bound = f"* {100 + percent} <= (one.n + other.n) * {100 - percent}"
+    coarse = " + ".join(f"bit_count(one.coarse[{i}] ^ other.coarse[{i}])" for i in range(_COARSE_LONGS))
+    # Where sizes allow a link, one outline is at most twice as wide and is folded.
+    fold = "if(size({0}) > size({1}), zip_with(slice({0}, 1, size({1})), slice({0}, size({1}) + 1, size({1})), (p, q) -> p ^ q), {0})"
+    x, y = "one.outline", "other.outline"
+    apart = f"aggregate(zip_with({fold.format(x, y)}, {fold.format(y, x)}, (p, q) -> bit_count(p ^ q)), 0, (s, c) -> s + c)"
+
+    def near(pairs: DataFrame) -> DataFrame:
+        one, other = about.alias("one"), about.alias("other")
+        return (
+            pairs.join(one, F.col("a") == F.col("one.id"))
+            .join(other, F.col("b") == F.col("other.id"))
+            .where(f"{sizes} AND {apart} {bound}")
+            .select("a", "b")
         )
-        apart = sum(
-            F.bit_count(F.col(f"{one}.outline")[i].bitwiseXOR(F.col(f"{other}.outline")[i]))
-            for i in range(_OUTLINE_LONGS)
-        )
-        return sizes & (apart * (100 + percent) <= (F.col(f"{one}.n") + F.col(f"{other}.n")) * (100 - percent))
 
     by_typical = Window.partitionBy("list").orderBy(F.col("typical").desc(), "id")
     stars = (
@@ -244,31 +243,32 @@ def jaccard_components(
         .where("a <> b")
         .distinct()
     )
-    one, other = about.alias("one"), about.alias("other")
-    near_stars = (
-        stars.join(one, F.col("a") == F.col("one.id"))
-        .join(other, F.col("b") == F.col("other.id"))
-        .where(similar("one", "other"))
-        .select("a", "b")
-    )
-    first = components(_linked(saved(near_stars, "stars"), texts, width, percent))
+    first = components(_linked(saved(near(stars), "stars"), texts, width, percent))
 
+    # Folded once more by parity, every outline has the same few bits.
+    folded = [
+        f"aggregate(filter(outline, (x, k) -> k % {_COARSE_LONGS} = {i}), 0L, (s, x) -> s ^ x)"
+        for i in range(_COARSE_LONGS)
+    ]
     joined = about.join(first, "id", "left").select(
-        "id", "n", "outline", F.coalesce("component", "id").alias("component")
+        "id",
+        "n",
+        F.expr(f"array({', '.join(folded)})").alias("coarse"),
+        F.coalesce("component", "id").alias("component"),
     )
     placed = shared.join(joined.select("id", "component"), "id")
     mixed = placed.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     open_lists = saved(
-        shared.join(mixed.select("list"), "list").join(joined, "id").select("list", "id", "n", "outline", "component"),
+        shared.join(mixed.select("list"), "list").join(joined, "id").select("list", "id", "n", "coarse", "component"),
         "open-lists",
     )
     across = (
         open_lists.alias("one")
-        .join(open_lists.alias("other"), (F.col("one.list") == F.col("other.list")) & (F.col("one.component") < F.col("other.component")) & similar("one", "other"))
+        .join(open_lists.alias("other"), (F.col("one.list") == F.col("other.list")) & (F.col("one.component") < F.col("other.component")) & F.expr(f"{sizes} AND ({coarse}) {bound}"))
         .select(F.col("one.id").alias("a"), F.col("other.id").alias("b"))
         .distinct()
     )
-    second = _linked(saved(across, "across"), texts, width, percent)
+    second = _linked(saved(near(across), "across"), texts, width, percent)
     whole = components(
         first.select(F.col("id").alias("a"), F.col("component").alias("b")).where("a <> b").union(second.select("a", "b"))
     )
