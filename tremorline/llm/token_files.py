@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import importlib.util
+import itertools
+import json
 import os
 import struct
 import uuid
@@ -17,13 +20,13 @@ from pyspark.sql import functions as F
 from tremorline.llm.common import saved, shuffle_partitions
 from tremorline.llm.simple8b import decode as unpack
 from tremorline.llm.simple8b import encode as pack
-from tremorline.llm.words import slices, utf8
+from tremorline.llm.words import SLICE_BYTES, same_words, slices, split_words, utf8
 from tremorline.session import scratch_path
 
 END_ID = 1
 
-# Words whose ids a task remembers.
-_REMEMBERED = 300_000
+# Words whose ids a worker remembers: about 80 MB of arrays.
+_REMEMBERED = 2_000_000
 
 # A file is a run of groups, each a header and four arrays: the documents' ids,
 # which of them are null, their token counts, block offsets, packed words.
@@ -40,52 +43,138 @@ def store_of(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
+# How a lower-case tokenizer of whole words prepares its input.
+_LOWER_CASE = [("NFC", None), ("Replace", r"\s+"), ("Lowercase", None)]
+_WHOLE_WORDS = [("Split", r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"), ("ByteLevel", None)]
+
+# A word of Latin letters, perhaps with one full stop or comma behind it.
+_LATIN_WORD = r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)"
+
+
+def _parts(config: dict | None, inner: str) -> list[tuple[str, str | None]]:
+    steps = (config or {}).get(inner, [])
+    return [(step["type"], (step.get("pattern") or {}).get("Regex")) for step in steps]
+
+
+def _byte_letters() -> dict[int, int]:
+    """Byte-level alphabet: printable Latin-1 as it is, other bytes from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: 256 + i for i, b in enumerate(others)}
+
+
+def _encoder_of_words(tokenizer_path: str) -> Callable[[list[str]], list[list[int]]]:
+    """A function from words, free of white space, to the ids of each.
+
+    Where the tokenizer lowers case and takes runs of letters whole, a Latin word
+    needs no more than the library's BPE model itself: lowered, in byte letters.
+    Everything else goes through the whole tokenizer.
+    """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    import re
+
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path)
+    config = json.loads(tokenizer.to_str())
+    plain = (
+        _parts(config["normalizer"], "normalizers") == _LOWER_CASE
+        and _parts(config["pre_tokenizer"], "pretokenizers") == _WHOLE_WORDS
+        and not any(t["content"].isalpha() for t in config["added_tokens"])
+    )
+    latin, letters = re.compile(_LATIN_WORD), _byte_letters()
+    stops = {m: tokenizer.encode(m, add_special_tokens=False).ids if m else [] for m in ("", ".", ",")}
+
+    def whole(words: list[str]) -> list[list[int]]:
+        return [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)]
+
+    def encode(words: list[str]) -> list[list[int]]:
+        if not plain:
+            return whole(words)
+        remembered: dict[str, list[int]] = {}
+        out: list = [None] * len(words)
+        rest = []
+        for i, word in enumerate(words):
+            match = latin.fullmatch(word)
+            if match is None:
+                rest.append(i)
+                continue
+            core, stop = match.groups()
+            core = core.lower()
+            ids = remembered.get(core)
+            if ids is None:
+                spelt = core if core.isascii() else core.encode().decode("latin-1").translate(letters)
+                ids = remembered[core] = [t.id for t in tokenizer.model.tokenize(spelt)]
+            out[i] = ids + stops[stop] if stop else ids
+        for i, ids in zip(rest, whole([words[i] for i in rest])):
+            out[i] = ids
+        return out
+
+    return encode
+
+
 def word_encoder(tokenizer_path: str) -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]:
     """A function from texts to (all ids, ids of each text), special tokens not added.
 
     For tokenizers that part texts at white space before anything else and drop
     it, as the word-level ones do: then a text's ids are those of its words in
-    turn, and each different word is encoded once.
+    turn, and each different word is encoded once. Words are told apart by their
+    hash, length, first and last eight bytes.
     """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+    encode_words = _encoder_of_words(tokenizer_path)
+    known, places = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    starts, lengths, ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
-    tokenizer = Tokenizer.from_file(tokenizer_path)
-    known: dict[bytes, int] = {}
-    starts, lengths = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
-    ids, used = np.zeros(4096, np.uint32), 0
+    def one_by_one(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        found = [[i for w in encode_words([w.decode("utf-8") for w in t.split()]) for i in w] for t in texts]
+        return np.array([i for f in found for i in f], np.uint32), np.array([len(f) for f in found], np.int64)
 
     def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        nonlocal starts, lengths, ids, used
-        split = [t.split() for t in texts]
-        words = [w for text in split for w in text]
+        nonlocal known, places, starts, lengths, ids
+        words = split_words(texts)
+        unique, first, inverse = np.unique(words.hashes, return_index=True, return_inverse=True)
+        if not same_words(words, first[inverse]):
+            return one_by_one(texts)
         if len(known) > _REMEMBERED:
-            known.clear()
-            used = 0
-        new = [w for w in set(words) if w not in known]
-        if new:
-            found = [e.ids for e in tokenizer.encode_batch([w.decode("utf-8") for w in new], add_special_tokens=False)]
+            known, places, starts, lengths, ids = known[:0], places[:0], starts[:0], lengths[:0], ids[:0]
+        at = np.minimum(np.searchsorted(known, unique), max(0, len(known) - 1))
+        new = np.flatnonzero(known[at] != unique) if len(known) else np.arange(len(unique))
+        if len(new):
+            data = words.data
+            spelt = [data[a:b].decode("utf-8") for a, b in zip(words.starts[first[new]], words.ends[first[new]])]
+            found = encode_words(spelt)
             sizes = np.fromiter(map(len, found), np.int64, count=len(found))
-            first = len(known)
-            known.update(zip(new, range(first, first + len(new))))
-            while len(starts) < len(known):
-                starts, lengths = np.concatenate((starts, starts)), np.concatenate((lengths, lengths))
-            while len(ids) < used + int(sizes.sum()):
-                ids = np.concatenate((ids, ids))
-            starts[first : first + len(new)] = used + np.cumsum(sizes) - sizes
-            lengths[first : first + len(new)] = sizes
-            ids[used : used + int(sizes.sum())] = [i for e in found for i in e]
-            used += int(sizes.sum())
-        at = np.fromiter(map(known.__getitem__, words), np.int64, count=len(words))
-        size = lengths[at]
+            places = np.concatenate((places, len(lengths) + np.arange(len(new))))
+            starts = np.concatenate((starts, len(ids) + np.cumsum(sizes) - sizes))
+            lengths = np.concatenate((lengths, sizes))
+            ids = np.concatenate((ids, np.fromiter(itertools.chain.from_iterable(found), np.uint32, count=int(sizes.sum()))))
+            known = np.concatenate((known, unique[new]))
+            order = np.argsort(known)
+            known, places = known[order], places[order]
+            at = np.searchsorted(known, unique)
+        place = places[at][inverse] if len(known) else np.zeros(0, np.int64)
+        size = lengths[place]
         ends = np.cumsum(size)
-        flat = ids[np.repeat(starts[at] - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        text_ends = np.concatenate(([0], ends))[np.cumsum([0, *map(len, split)])]
-        return flat, np.diff(text_ends)
+        flat = ids[np.repeat(starts[place] - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        in_text = np.cumsum(np.concatenate(([0], np.bincount(words.doc, minlength=len(texts)))))
+        return flat, np.diff(np.concatenate(([0], ends))[in_text])
 
     return encode
 
 
+_ENCODERS: dict[str, Callable] = {}
+
+
+def lasting_encoder(tokenizer_path: str) -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]:
+    """word_encoder, kept for later tasks of a worker on which this package is installed."""
+    if importlib.util.find_spec("tremorline") is None:
+        return word_encoder(tokenizer_path)
+    installed = importlib.import_module("tremorline.llm.token_files")
+    if tokenizer_path not in installed._ENCODERS:
+        installed._ENCODERS[tokenizer_path] = installed.word_encoder(tokenizer_path)
+    return installed._ENCODERS[tokenizer_path]
+
+
 def write_token_files(
     docs: DataFrame,
     folder: str,
@@ -109,9 +198,9 @@ def write_token_files(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, sink, first, documents, total = f"{uuid.uuid4().hex}.s8b", None, None, 0, 0
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 2 * SLICE_BYTES):
             if sink is None:
-                encode = word_encoder(tokenizer_path)
+                encode = lasting_encoder(tokenizer_path)
                 store, path = store_of(folder)
                 store.create_dir(path, recursive=True)
                 sink = store.open_output_stream(f"{path}/{name}")

@@ -77,6 +77,17 @@ def split_words(texts: list[bytes]) -> Words:
     return Words(hashes, doc, starts, ends, data)
 
 
+def same_words(words: Words, other: np.ndarray) -> bool:
+    """Whether every word equals the one at `other`: length, first and last bytes."""
+    size = words.ends - words.starts
+    if not np.array_equal(size, size[other]):
+        return False
+    eight = np.ndarray((len(words.data) - 7,), dtype="<u8", buffer=words.data, strides=(1,))
+    head = eight[words.starts] & _KEEP[np.minimum(size, 8)]
+    tail = np.where(size > 8, eight[np.maximum(words.ends - 8, 0)], 0)
+    return np.array_equal(head, head[other]) and np.array_equal(tail, tail[other])
+
+
 def windows(hashes: np.ndarray, width: int) -> np.ndarray:
     """Hash of every run of `width` words, whatever texts they lie in."""
     n = max(0, len(hashes) - width + 1)
