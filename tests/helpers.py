@@ -16,7 +16,7 @@ def feature(id, time=T0, place="1km N of A, B", mag=1.0, tsunami=0, sig=10, coor
             "mag": mag,
             "magType": "ml",
             "tsunami": tsunami,
-            "type": "earthquake",
+            "type": "tremor",
             "alert": None,
             "sig": sig,
             "net": "n",

@@ -37,7 +37,7 @@ def test_counts(spark):
         (5, 0, 0, 0, False),
         (6, 0, 1, 1, False),
         (7, 7, 1, 0, False),
-        (8, 0, 0, 0, True),
+        (8, 0, 0, 0, False),
         (9, 0, 0, 0, True),
         (10, 2, 1, 1, False),
     ]
@@ -77,3 +77,17 @@ def test_rejected_rows_are_the_ones_missing_downstream(spark):
 def test_carried_columns_stay(spark):
     docs = landing(spark, document(feature("a", time=T0))).selectExpr("*", "'w' AS window")
     assert decode_documents(docs).columns == ["doc_seq", "window", "count", "features", "is_corrupt"]
+
+
+def test_one_bad_leaf_costs_only_itself(spark):
+    good = [feature(f"g{i}") for i in range(100)]
+    docs = landing(spark, document(*good, feature("bad", sig="x", mag="y")), document(feature("a"), count="1"))
+    rows = {r.id: r for r in explode_features(decode_documents(docs)).collect()}
+    assert len(rows) == 102
+    assert (rows["bad"].sig, rows["bad"].mag, rows["bad"].place) == (None, None, rows["g0"].place)
+    assert [r[1] for r in _counts(spark, document(feature("a"), count="1"), document(feature("a"), count=1.0))] == [1, 1]
+
+
+def test_text_behind_the_document_marks_it(spark):
+    one = document(feature("a"))
+    assert [r[4] for r in _counts(spark, one + " \n", one + " x", one + one, "[]", "5")] == [False, True, True, True, True]

@@ -44,7 +44,7 @@ def test_one_row(spark):
     assert row.timestamp == datetime(2010, 4, 1, 13, 0, 0, 123000)
     assert (row.id, row.state, row.city, row.place) == ("a", "Y", "X", "5 km S of X, Y")
     assert (row.longitude, row.latitude, row.magnitude) == (1.0, 2.0, 5.0)
-    assert (row.magnitude_type, row.tsunami, row.earthquake_type) == ("ml", True, "earthquake")
+    assert (row.magnitude_type, row.tsunami, row.event_kind) == ("ml", True, "tremor")
     assert (row.alert, row.significant_level, row.network) == (None, 3, "n")
 
 

@@ -21,7 +21,8 @@ def ingest_audit(published: DataFrame, tallies: DataFrame) -> DataFrame:
 
     published: one row per publish attempt (window_start, doc_seq,
     published_count); every attempt counts. tallies: per processed document
-    (doc_seq, count); a replayed document counts once.
+    (doc_seq, count); a replayed document counts once. Processed documents that
+    nobody published are summed in a last row without a window.
 
     Documents are summed to one row per window before the running totals, the
     only step in a single task. Its rows are days of the plan: they grow with
@@ -33,14 +34,14 @@ def ingest_audit(published: DataFrame, tallies: DataFrame) -> DataFrame:
         F.sum("published_count").alias("published_count")
     )
     per_window = (
-        attempts.join(processed, "doc_seq", "left")
+        attempts.join(processed, "doc_seq", "full_outer")
         .groupBy("window_start")
         .agg(
-            F.sum("published_count").alias("published_count"),
+            F.sum(F.coalesce("published_count", F.lit(0))).alias("published_count"),
             F.sum(F.coalesce("processed_rows", F.lit(0))).alias("processed_rows"),
         )
     )
-    so_far = Window.orderBy("window_start").rowsBetween(
+    so_far = Window.orderBy(F.col("window_start").asc_nulls_last()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     return per_window.select(

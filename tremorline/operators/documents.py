@@ -7,31 +7,55 @@ from pyspark.sql import functions as F
 
 from tremorline.functions import in_timestamp_range
 from tremorline.schemas import (
-    CORRUPT_COLUMN,
     DOCUMENT_SCHEMA,
     FEATURE_LEAVES,
     SEQUENCE_COLUMNS,
 )
 
 
+def _whole(text: str) -> str:
+    """A number written as text, with or without a fraction of zero, as BIGINT."""
+    return f"coalesce(try_cast({text} AS BIGINT), try_cast(try_cast({text} AS DECIMAL(38, 6)) AS BIGINT))"
+
+
+# A feature with its numbers typed; one that does not cast becomes null.
+_TYPED_FEATURE = f"""
+    transform(_document.d.features, f -> if(f IS NULL, NULL, named_struct(
+        'id', f.id,
+        'properties', named_struct(
+            'place', f.properties.place,
+            'time', {_whole("f.properties.time")},
+            'mag', try_cast(f.properties.mag AS DOUBLE),
+            'magType', f.properties.magType,
+            'tsunami', {_whole("f.properties.tsunami")},
+            'type', f.properties.type,
+            'alert', f.properties.alert,
+            'sig', {_whole("f.properties.sig")},
+            'net', f.properties.net),
+        'geometry', named_struct(
+            'coordinates', transform(f.geometry.coordinates, c -> try_cast(c AS DOUBLE))))))
+"""
+
+
 def decode_documents(landing: DataFrame) -> DataFrame:
     """(doc_seq, value, ...) to (doc_seq, ..., count, features, is_corrupt).
 
     The schema is explicit, so nothing depends on what else is in the batch. A
-    document that does not decode gives count 0 and no features, and is marked:
-    its window stays pending. An absent count is 0.
+    text that is not one document, or has more behind it, gives count 0 and no
+    features, and is marked: its window stays pending. An absent count is 0. A
+    number of the wrong type becomes null; the rest of the document stays.
 
-    Malformed text decodes to a struct of nulls, not to null: only the
-    corrupt-record member tells.
+    The text is decoded as the only member of an object: the parser reads an
+    object to its end, so text behind the document is an error too.
     """
-    decoded = F.from_json("value", DOCUMENT_SCHEMA, {"columnNameOfCorruptRecord": CORRUPT_COLUMN})
-    is_corrupt = f"(_document IS NULL OR _document.{CORRUPT_COLUMN} IS NOT NULL)"
+    wrapped = F.concat(F.lit('{"d":'), "value", F.lit("}"))
+    decoded = F.from_json(wrapped, f"d STRUCT<{DOCUMENT_SCHEMA}>")
     carried = [name for name in landing.columns if name != "value"]
     return landing.withColumn("_document", decoded).selectExpr(
         *carried,
-        f"CASE WHEN {is_corrupt} THEN 0L ELSE coalesce(_document.metadata.count, 0L) END AS count",
-        f"CASE WHEN NOT {is_corrupt} THEN _document.features END AS features",
-        f"{is_corrupt} AS is_corrupt",
+        f"coalesce({_whole('_document.d.metadata.count')}, 0L) AS count",
+        f"{_TYPED_FEATURE} AS features",
+        "(_document IS NULL OR _document.d IS NULL) AS is_corrupt",
     )
 
 

@@ -50,7 +50,7 @@ def normalize_features(features: DataFrame, null_numeric: str = "zero") -> DataF
         "magnitude": f"CAST({number('mag')} AS DOUBLE)",
         "magnitude_type": "magType",
         "tsunami": long_to_boolean("tsunami"),
-        "earthquake_type": "type",
+        "event_kind": "type",
         "alert": "alert",
         # Narrowed to int; one absurd value must not fail its whole batch.
         "significant_level": f"try_cast({number('sig')} AS INT)",

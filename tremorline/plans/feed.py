@@ -38,7 +38,7 @@ _FEATURES = """
         CASE WHEN e.event_id % 10 <> 0 THEN e.value END AS mag,
         'ml' AS magType,
         e.event_id % 3 AS tsunami,
-        'earthquake' AS type,
+        'tremor' AS type,
         CASE WHEN e.event_id % 7 = 0 THEN 'green' END AS alert,
         CASE WHEN e.event_id % 11 <> 0 THEN e.user_id END AS sig,
         e.event_type AS net,

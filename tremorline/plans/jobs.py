@@ -32,6 +32,20 @@ def _rows_to_aggregate(
     return current.where(F.concat_ws("-", *RAW_PARTITIONS).isin(list(months)))
 
 
+def _merged(old, fresh, keys, value, mode, months):
+    """The new version; with months, "replace" replaces these months only."""
+    if months is None:
+        return merge_view(old, fresh, keys, value, mode)
+    if old is None:
+        raise ValueError("a refresh of some months needs the previous version")
+    if mode != "replace":
+        return merge_view(old, fresh, keys, value, mode)
+    month = F.concat_ws("-", F.substring("date", 1, 4), F.substring("date", 6, 2))
+    others = old.where(~F.coalesce(month.isin(list(months)), F.lit(False)))
+    columns = [*keys, value]
+    return others.select(columns).unionByName(fresh.select(columns))
+
+
 def refresh_hour_counts(
     spark: SparkSession,
     target: str,
@@ -45,11 +59,12 @@ def refresh_hour_counts(
 
     months: only recompute these ("2024-01", ...). A group lies in one month, so
     if the others have not changed since the previous version the result is that
-    of a full recompute, read from a fraction of the folders.
+    of a full recompute, read from a fraction of the folders. Needs previous;
+    mode "replace" then replaces these months and keeps the others.
     """
     fresh = count_by_hour(_rows_to_aggregate(spark, log, base, months))
     old = None if previous is None else read_view(spark, previous, HOUR_COUNT_SCHEMA)
-    view = merge_view(old, fresh, HOUR_COUNT_KEY, "count", mode)
+    view = _merged(old, fresh, HOUR_COUNT_KEY, "count", mode, months)
     write_view(view, target, _PLACE, HOUR_COUNT_NEWEST_FIRST)
 
 
@@ -66,5 +81,5 @@ def refresh_day_averages(
     """The same for day averages."""
     fresh = avg_magnitude_by_day(_rows_to_aggregate(spark, log, base, months), decimals)
     old = None if previous is None else read_view(spark, previous, DAY_AVERAGE_SCHEMA)
-    view = merge_view(old, fresh, DAY_AVERAGE_KEY, "average", mode)
+    view = _merged(old, fresh, DAY_AVERAGE_KEY, "average", mode, months)
     write_view(view, target, _PLACE, DAY_AVERAGE_NEWEST_FIRST)

@@ -69,7 +69,7 @@ raw AS (
            coalesce(mag, 0.0) AS magnitude,
            'ml' AS magnitude_type,
            tsunami_code = 1 AS tsunami,
-           'earthquake' AS earthquake_type,
+           'tremor' AS event_kind,
            alert,
            CAST(coalesce(sig, 0) AS INTEGER) AS significant_level,
            network,
@@ -149,7 +149,7 @@ _SELECTS = {
                CAST(longitude AS VARCHAR) || ' ' || CAST(latitude AS VARCHAR) || ' 10.0'
                    AS coordinates,
                epoch_ms(ts) AS time, mag, 'ml' AS "magType", tsunami_code AS tsunami,
-               'earthquake' AS type, alert, CAST(sig AS VARCHAR) AS sig,
+               'tremor' AS type, alert, CAST(sig AS VARCHAR) AS sig,
                network AS net, id
         FROM feed""",
     "normalize_features": "SELECT * EXCLUDE (seq) FROM raw",

@@ -1,24 +1,23 @@
 """Table shapes, keys and storage order."""
 
-# The JSON members read from an event document.
+# The JSON members read from an event document. Numbers are read as
+# text, so that one of the wrong type costs no more than itself.
 DOCUMENT_SCHEMA = """
-    metadata STRUCT<count: BIGINT>,
-    features ARRAY<STRUCT<
+    metadata: STRUCT<count: STRING>,
+    features: ARRAY<STRUCT<
         id: STRING,
         properties: STRUCT<
             place: STRING,
-            time: BIGINT,
-            mag: DOUBLE,
+            time: STRING,
+            mag: STRING,
             magType: STRING,
-            tsunami: BIGINT,
+            tsunami: STRING,
             type: STRING,
             alert: STRING,
-            sig: BIGINT,
+            sig: STRING,
             net: STRING>,
-        geometry: STRUCT<coordinates: ARRAY<DOUBLE>>>>,
-    _corrupt_record STRING
+        geometry: STRUCT<coordinates: ARRAY<STRING>>>>
 """
-CORRUPT_COLUMN = "_corrupt_record"
 
 # The leaves of one feature, in output order.
 FEATURE_LEAVES = {
@@ -62,7 +61,7 @@ RAW_FIELDS = {
     "magnitude": "DOUBLE",
     "magnitude_type": "STRING",
     "tsunami": "BOOLEAN",
-    "earthquake_type": "STRING",
+    "event_kind": "STRING",
     "alert": "STRING",
     "significant_level": "INT",
     "network": "STRING",

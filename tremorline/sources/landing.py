@@ -14,12 +14,13 @@ from tremorline.schemas import LANDING_SCHEMA
 SEQUENCE_WIDTH = 20
 
 # Publish number in .../000042.json or in .../doc_seq=000042/part-0.txt
-_NUMBER_IN_PATH = r"/(?:doc_seq=)?(\d+)(?:\.[A-Za-z]+$|/part-[^/]*$)"
+_NUMBER_IN_PATH = r"/(?:doc_seq=)?(\d+)(?:(?:\.[A-Za-z]+){1,2}$|/part-[^/]*$)"
 
 
 def _sequence_from_path() -> Column:
+    # A file without a number in its name has none: it yields to all that have one.
     number = F.regexp_extract(F.col("_metadata.file_path"), _NUMBER_IN_PATH, 1)
-    return number.cast("bigint").alias("doc_seq")
+    return number.try_cast("bigint").alias("doc_seq")
 
 
 def read_landing_text(spark: SparkSession, path: str) -> DataFrame:

@@ -68,7 +68,10 @@ def _reconcile(
     conditions are on partition columns and prune folders. Keys without year and
     month allow no such split; then all rows are in the first part.
     """
-    recent = read_raw(spark, log)
+    path = spark._jvm.org.apache.hadoop.fs.Path(log)
+    landed = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    # A log to which nothing has been written yet is empty.
+    recent = read_raw(spark, log) if landed else spark.createDataFrame([], RAW_LOG_SCHEMA).select(_LOG_COLUMNS)
     if not bases:
         return latest_by_key(recent, keys), None
     settled = _settled(spark, bases)

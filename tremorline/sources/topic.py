@@ -52,7 +52,10 @@ def documents_from_records(records: DataFrame) -> DataFrame:
     within a partition as it is. The partition must fit in 16 bits.
     """
     partition = F.col("partition").cast("bigint")
-    number = F.shiftleft(F.col("offset"), 16).bitwiseOR(partition)
+    too_many = F.raise_error(F.lit("a topic's partition number must fit in 16 bits")).cast("bigint")
+    number = F.when(partition > 65_535, too_many).otherwise(
+        F.shiftleft(F.col("offset"), 16).bitwiseOR(partition)
+    )
     return records.select(number.alias("doc_seq"), F.col("value").cast("string").alias("value"))
 
 
