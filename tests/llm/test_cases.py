@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from tremorline.llm import language_ppm, simple8b, suffix_tree_lm
+from tremorline.llm import fuzzy_lines, language_ppm, simple8b, suffix_tree_lm
 from tremorline.llm.content_sort import drop_exact_copies
 from tremorline.llm.decontaminate import contaminated_passages
 from tremorline.llm.fuzzy_lines import fuzzy_line_groups
@@ -107,6 +107,43 @@ def test_lines(spark):
     assert fuzzy_line_groups(docs.limit(0)).count() == 0
 
 
+def _distance(x, y):
+    row = list(range(len(y) + 1))
+    for i, c in enumerate(x, 1):
+        row, above = [i], row
+        for j, e in enumerate(y, 1):
+            row.append(min(above[j] + 1, row[-1] + 1, above[j - 1] + (c != e)))
+    return row[-1]
+
+
+@pytest.mark.parametrize("n", [1, 2, 63, 64])
+def test_signatures_agree_in_lanes_of_any_width(spark, n):
+    hashes = [int(h) for h in np.random.default_rng(n).integers(-(1 << 63), 1 << 63, n)]
+    expected = sum(1 << b for b in range(63) if 2 * sum(h >> b & 1 for h in hashes) > n)
+    widths = fuzzy_lines._LANES + fuzzy_lines._WIDE_LANES
+    row = spark.createDataFrame([(hashes,)], "words ARRAY<BIGINT>").selectExpr(*map(fuzzy_lines._signature, widths)).first()
+    assert list(row) == [expected] * len(widths)
+
+
+def test_lines_are_near_by_whole_distance_whatever_the_parts(spark):
+    rng = np.random.default_rng(5)
+    pairs = [("", "a"), ("é", "é"), ("abcde", "abcd"), ("abcd", "abc")]
+    for length, edits in ((90, 18), (90, 30), (300, 20), (700, 120), (700, 160)):
+        x = "".join(rng.choice(list("abcdé "), length))
+        for kind in ("drop", "put", "move"):
+            y = list(x)
+            for at in sorted(rng.choice(length // 2, edits // (2 if kind == "move" else 1), replace=False), reverse=True):
+                c = y.pop(at) if kind != "put" else "z"
+                if kind == "put":
+                    y.insert(at, c)
+                elif kind == "move":
+                    y.append(c)
+            pairs.append((x, "".join(y)))
+    rows = spark.createDataFrame([(x, y, len(x), len(y)) for x, y in pairs], "x STRING, y STRING, x_length INT, y_length INT")
+    got = [r[0] for r in rows.selectExpr(fuzzy_lines._near_enough("x", "y")).collect()]
+    assert got == [5 * _distance(x, y) <= max(len(x), len(y)) for x, y in pairs] and len(set(got)) == 2
+
+
 def test_tokens(docs):
     got = _by_id(token_index(docs, tokenizer_path()), "start", "n_tokens")
     assert len(got) == len(ROWS) and {r[0]: r[2] for r in got}[4] == 1
