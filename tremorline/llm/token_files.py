@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tremorline.llm.common import saved, shuffle_partitions
 from tremorline.llm.simple8b import decode as unpack
 from tremorline.llm.simple8b import encode as pack
-from tremorline.llm.words import SLICE_BYTES, same_words, slices, split_words, utf8
+from tremorline.llm.words import same_words, slices, split_words, utf8
 from tremorline.session import scratch_path
 
 END_ID = 1
@@ -198,8 +198,9 @@ def write_token_files(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, sink, first, documents, total = f"{uuid.uuid4().hex}.s8b", None, None, 0, 0
-        for batch in slices(batches, "text", 2 * SLICE_BYTES):
+        for batch in slices(batches, "text"):
             if sink is None:
+                pa.default_memory_pool().release_unused()  # what earlier stages left to this worker
                 encode = lasting_encoder(tokenizer_path)
                 store, path = store_of(folder)
                 store.create_dir(path, recursive=True)
