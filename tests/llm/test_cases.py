@@ -77,6 +77,26 @@ def test_decontamination_finds_edited_copies(spark, docs, items):
     assert contaminated_passages(docs.limit(0), items).count() == 0
 
 
+@pytest.mark.parametrize("copies", [0, 1, 5])
+def test_decontamination_finds_edits_beside_exact_copies(spark, copies):
+    words = [f"{w}{k}" for k in range(3) for w in WORDS]
+    items = spark.createDataFrame([(k, " ".join(words[40 * k : 40 * k + 40])) for k in range(3)], "item_id BIGINT, text STRING")
+    rows = [(100 * k + c, " ".join(words[40 * k : 40 * k + 40])) for k in range(3) for c in range(copies)]
+    # Frequent n-grams of each item, which its copies do not explain.
+    rows += [(1000 + c, f"{c} " + " ".join(words[40 * k : 40 * k + 7])) for k in range(3) for c in range(200)]
+    edits = [(k, every, first) for k, every in enumerate((4, 5, 6)) for first in range(every)]
+    for n, (k, every, first) in enumerate(edits):
+        edited = [f"new{j}" if j % every == first else w for j, w in enumerate(words[40 * k : 40 * k + 40])]
+        rows.append((2000 + n, "x y " + " ".join(edited) + " z"))
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    # With the first document of edits alone, too: most n-grams of its item occur nowhere.
+    for some in (docs, docs.where("doc_id < 2001"), docs.where("doc_id < 1000 OR doc_id = 2004")):
+        got = {(r.doc_id, r.item_id) for r in contaminated_passages(some, items).collect()}
+        ids = {r.doc_id for r in some.select("doc_id").collect()}
+        wanted = {(2000 + n, k) for n, (k, *_) in enumerate(edits)} | {(100 * k + c, k) for k in range(3) for c in range(copies)}
+        assert got == {pair for pair in wanted if pair[0] in ids}
+
+
 def test_languages(docs):
     got = _by_id(language_ppm.identify(docs, language_ppm.train(docs)), "lang_pred", "score")
     assert {r[0]: r[1] for r in got}[4] == "und" and {r[0]: r[1] for r in got}[10] == "und"

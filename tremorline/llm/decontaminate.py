@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds, then local alignment."""
+"""Benchmark decontamination: n-gram seeds, then local alignment."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tremorline.llm.common import saved
@@ -19,6 +19,10 @@ LEAST_SCORE = 0.5
 
 _MATCH, _MISMATCH, _GAP = 2, -1, -1
 
+# No seeds: of an item's n-grams the most frequent, one in _SET_ASIDE at most, and only
+# those that occur _FREQUENT times as often as its median one, which copies raise too.
+_SET_ASIDE, _FREQUENT = 8, 16
+
 # Bits of the filter that a task sees of all seeds: a fixed 512 KB.
 _FILTER_BITS = 22
 
@@ -86,13 +90,17 @@ def contaminated_passages(
 ) -> DataFrame:
     """Documents that hold a copy of a benchmark item, exact, edited or paraphrased.
 
-    How often each n-gram of the items occurs is counted over all documents. Of
-    every item, the n-grams no more frequent than its median one are seeds: the
-    rarer half, also of an item that leaked often. A filter of fixed size, all
-    that tasks hold of the benchmark, finds possible seeds; around them a passage
-    is cut with room for the longest item on both sides. Passages meet items by
-    seed in a join, and each pair is aligned by Smith-Waterman over words (match
-    2, mismatch and gap -1). Scores are divided by the score of an exact copy.
+    How often each n-gram of the items occurs is counted over all documents. All
+    that occur are seeds, but for the most frequent eighth of an item's n-grams
+    where they occur far more often than its median one. So a copy that keeps more
+    than an eighth of the item's n-grams has a seed, however often the item leaked:
+    with every 4th word replaced a quarter is kept. Copies without a common n-gram
+    (every 3rd word replaced, for a score near 0.5) are not found. A filter of
+    fixed size, all that tasks hold of the benchmark, finds possible seeds; around
+    them a passage is cut with room for the longest item on both sides. Passages
+    meet items by seed in a join, and each pair that has enough words in common is
+    aligned by Smith-Waterman over words (match 2, mismatch and gap -1). Scores are
+    divided by the score of an exact copy.
 
     Returns doc_id, item_id, score, end_word (word of the document behind the
     alignment), the best passage for each pair, where score >= least_score.
@@ -137,18 +145,23 @@ def contaminated_passages(
     counted = saved(
         grams.join(counts, "hash", "left").select("item_id", "hash", F.coalesce("times", F.lit(0)).alias("times")), "gram-counts"
     )
-    medians = counted.groupBy("item_id").agg(F.percentile("times", F.lit(0.5)).alias("median"))
-    seeds = saved(
-        counted.join(medians, "item_id").where("times <= median AND times > 0").select("hash", "item_id"), "seeds"
+    of_item = Window.partitionBy("item_id")
+    ranked = counted.select(
+        "*",
+        F.row_number().over(of_item.orderBy(F.desc("times"), "hash")).alias("rank"),
+        F.count("*").over(of_item).alias("n"),
+        F.percentile("times", F.lit(0.5)).over(of_item).alias("median"),
     )
-    rare = spark.sparkContext.broadcast(_filter(seeds))
+    set_aside = f"rank <= n div {_SET_ASIDE} AND times > {_FREQUENT} * (median + 1)"
+    seeds = saved(ranked.where(f"times > 0 AND NOT ({set_aside})").select("hash", "item_id"), "seeds")
+    seeded = spark.sparkContext.broadcast(_filter(seeds))
     room = longest + longest // 4 + seed_words
 
     def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             words = _words(batch.column("text"))
             runs, at = _grams(words, seed_words)
-            keep = np.flatnonzero(rare.value[(runs >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
+            keep = np.flatnonzero(seeded.value[(runs >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
             if not keep.size:
                 continue
             hit, place = runs[keep], at[keep]
@@ -194,8 +207,10 @@ def contaminated_passages(
             scores, ends = [], []
             starts = batch.column("start").to_pylist()
             for start, item, passage in zip(starts, batch.column("item").to_pylist(), batch.column("passage").to_pylist()):
-                wanted = np.frombuffer(item, np.uint64)
-                best, end = _alignment(wanted, np.frombuffer(passage, np.uint64))
+                wanted, found = np.frombuffer(item, np.uint64), np.frombuffer(passage, np.uint64)
+                # No score is above the part of the item's words that the passage holds.
+                near = np.isin(wanted, found).sum() >= least_score * len(wanted)
+                best, end = _alignment(wanted, found) if near else (0, 0)
                 scores.append(best / (_MATCH * len(wanted)))
                 ends.append(start + end)
             yield pa.RecordBatch.from_arrays(
