@@ -127,6 +127,24 @@ def test_lines(spark):
     assert fuzzy_line_groups(docs.limit(0)).count() == 0
 
 
+def test_lines_of_any_length_with_one_word_or_letter_changed(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for n in (2, 3, 5, 10, 20, 30, 50):
+        for k in range(8):
+            words = ["".join(rng.choice(list("abcdefghijklmnopqrst"), 6 + j % 3)) for j in range(n)]
+            at = int(rng.integers(n))
+            other = "".join(rng.choice(list("uvwxyz"), len(words[at])))
+            if n < 6 or k % 2:
+                other = words[at][:3] + "z" + words[at][4:]
+            rows.append((len(rows), " ".join(words)))
+            rows.append((len(rows), " ".join([*words[:at], other, *words[at + 1 :]])))
+    rows += [(len(rows), "abcdefghij" * 12), (len(rows) + 1, "abcdefghij" * 6 + "z" + "abcdefghij" * 6)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    got = {r.doc_id: r.kept_doc_id for r in fuzzy_line_groups(docs).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}
+
+
 def _distance(x, y):
     row = list(range(len(y) + 1))
     for i, c in enumerate(x, 1):

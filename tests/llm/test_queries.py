@@ -8,6 +8,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from tremorline.llm.oracles import ORACLES
@@ -57,6 +58,40 @@ def test_jaccard_equals_brute_force(spark):
     assert got == {i: (len(sets[i]), root(i)) for i in sets}
 
 
+def test_lines_equal_brute_force(spark):
+    rows = QUERIES["op2_fuzzy_lines"](spark, SMALL).collect()
+    lines, order = {}, {}
+    for i, text in sorted(_documents()):
+        for n, raw in enumerate(text.lower().split("\n") if text is not None else []):
+            line = re.sub(r"[\x20\x09-\x0D]+", " ", raw).strip(" ")
+            lines[i, n] = line
+            if line:
+                order.setdefault(line, (i, n))
+    table = spark.createDataFrame([(i, n, t, len(t)) for t, (i, n) in order.items()], "i BIGINT, n INT, t STRING, size INT").repartition(8)
+    counts = [f"abs(length(replace(x.t, '{c}', '')) - x.size - length(replace(y.t, '{c}', '')) + y.size)" for c in "etaonisrhldu"]
+    near = table.alias("x").join(
+        table.alias("y"),
+        F.expr(
+            "(x.i < y.i OR x.i = y.i AND x.n < y.n) AND 5 * abs(x.size - y.size) <= greatest(x.size, y.size)"
+            # An edit changes two letter counts at most.
+            f" AND 5 * ({' + '.join(counts)}) <= 2 * greatest(x.size, y.size)"
+            " AND levenshtein(x.t, y.t, CAST(greatest(x.size, y.size) div 5 AS INT)) >= 0"
+        ),
+    ).selectExpr("x.i", "x.n", "y.i", "y.n").collect()
+    parent = {at: at for at in order.values()}
+
+    def root(at):
+        while parent[at] != at:
+            at = parent[at]
+        return at
+
+    for i, n, j, m in near:
+        x, y = root((i, n)), root((j, m))
+        parent[max(x, y)] = min(x, y)
+    wanted = {at: root(order[line]) if line else at for at, line in lines.items()}
+    assert len(near) > 20 and {(r.doc_id, r.line_no): (r.kept_doc_id, r.kept_line_no) for r in rows} == wanted
+
+
 def test_token_files_equal_the_tokenizer(spark):
     from tokenizers import Tokenizer
 
