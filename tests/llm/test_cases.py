@@ -145,6 +145,17 @@ def test_lines_of_any_length_with_one_word_or_letter_changed(spark):
     assert got == {i: i - i % 2 for i, _ in rows}
 
 
+def test_lines_of_140_and_175_characters(spark):
+    start = "karax losix mitox nuvux tewex kapox"
+    line = start + " " + " ".join(f"{a}{b}{c}qz" for a, b, c in zip("abcdefghijklmno", "xyzwvutsrqponml", "mlkjihgfedcbaxy")) + " 12345678901234"
+    line = line[:139] + "y"
+    longer = line + " " + start[1:]
+    assert (len(line), len(longer)) == (140, 175)
+    docs = spark.createDataFrame([(1, line), (2, longer)], "doc_id BIGINT, text STRING")
+    got = {r.doc_id: r.kept_doc_id for r in fuzzy_line_groups(docs).collect()}
+    assert got == {1: 1, 2: 1}
+
+
 def _distance(x, y):
     row = list(range(len(y) + 1))
     for i, c in enumerate(x, 1):
