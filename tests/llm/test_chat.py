@@ -1,0 +1,69 @@
+"""Chat formatting: round trips, order of turns, long conversations, odd rows."""
+
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from tremorline.llm.chat_format import ChatTemplate, chat_segments, check_turns, read_chat
+
+SHAPE = "conv_id BIGINT, turn BIGINT, role STRING, text STRING, n_turns STRING, segments INT"
+HOSTILE = ["<|im_end|>", "<\\|im_end|>", "<\\\\|", "<<|", "<\\", "a<", "\\", "\n", "\\10;", "<|im_start|>user\nx<|im_end|>\n", "", None, "é\r\n\0"]
+
+
+def _talks(spark, rows):
+    return spark.createDataFrame([(*r, "x", 1) for r in rows], SHAPE)
+
+
+def _expected(rows):
+    rows = sorted(rows, key=lambda r: (r[1] is not None, r[1], r[2] or "", r[3] or ""))
+    turns = "".join(f"{r[2] or ''}\n{r[3] or ''}\n" for r in rows)
+    loss = "".join(r[3] or "" for r in rows if r[2] == "assistant")
+    return len(rows), hashlib.sha256(turns.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest()
+
+
+def test_any_text_and_role_comes_back(spark):
+    rows = [(k, t, role, text) for k, role in enumerate(["assistant", "user", *HOSTILE]) for t, text in enumerate(HOSTILE)]
+    rows += [(99, None, "user", "late"), (99, 0, "assistant", "x"), (99, 0, "assistant", "x"), (99, 0, "assistant", "w"), (None, 1, "user", "y")]
+    formatted = chat_segments(_talks(spark, rows))
+    assert formatted.columns == ["conv_id", "turn", "role", "segments"]
+    got = {r.conv_id: r for r in read_chat(formatted).collect()}
+    assert set(got) == {r[0] for r in rows}
+    for conv, r in got.items():
+        assert (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) == _expected([x for x in rows if x[0] == conv])
+        pieces = [s["text"] for x in formatted.where(F.col("conv_id").eqNullSafe(F.lit(conv))).collect() for s in x.segments]
+        assert r.formatted_chars == sum(map(len, pieces))
+
+
+def test_turns_in_and_out_of_order(spark):
+    talks = {
+        1: ["system", "user", "assistant", "user"], 2: ["assistant", "user"], 3: ["user", "user", "system"], 4: ["system"],
+        5: ["user", "assistant", None], 6: ["user", "assistant"] * 400, 7: ["user", "assistant"] * 300 + ["assistant"] + ["user"] * 200,
+    }
+    rows = [(c, t, role, "") for c, roles in talks.items() for t, role in enumerate(roles)]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # keeps the pieces of 6 and 7 apart
+    try:
+        order = check_turns(_talks(spark, rows).repartition(5))
+        got = {r.conv_id: (r.n_turns, r.valid, r.first_bad_turn, r.state) for r in order.collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert got == {
+        1: (4, True, None, "asked"), 2: (2, False, 1, None), 3: (3, False, 2, None), 4: (1, True, None, "ready"),
+        5: (3, False, 3, None), 6: (800, True, None, "answered"), 7: (801, False, 601, None),
+    }
+
+
+def test_another_template(spark):
+    template = ChatTemplate("<|turn:", ">", "<|end|>", turns={"start": {"a": "start"}}, trained=("a", "b"))
+    rows = [(1, 0, "a>", "x > <|end|>"), (1, 1, "b", "y"), (2, 0, "a", ""), (2, 1, "a", "<|turn:")]
+    talks = _talks(spark, rows)
+    got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars) for r in read_chat(chat_segments(talks, template), template).collect()}
+    assert got == {c: (*_expected([r for r in rows if r[0] == c])[:2], n) for c, n in ((1, 1), (2, 7))}
+    assert {r.conv_id: r.first_bad_turn for r in check_turns(talks, template).collect()} == {1: 1, 2: None}
+    with pytest.raises(ValueError):
+        ChatTemplate(before="[")
+
+
+def test_no_conversations(spark):
+    none = _talks(spark, [(1, 0, "user", "x")]).limit(0)
+    assert read_chat(chat_segments(none)).count() == 0 == check_turns(none).count()
