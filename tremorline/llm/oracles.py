@@ -97,6 +97,48 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f
 """
 
+# crc32 over decimal digits, bit by bit: 0xEDB88320 is 3988292384.
+OP12 = r"""
+WITH t AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+            sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS nth
+    FROM conversations WHERE conv_id IS NOT NULL
+), h AS (
+    SELECT conv_id, xor(4294967295, list_reduce(
+        [4294967295::BIGINT] || flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+                                                       lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0])),
+        lambda a, v: xor(xor(a, v) >> 1, 3988292384::BIGINT * (xor(a, v) & 1)))) % 9 AS shared
+    FROM (SELECT DISTINCT conv_id FROM t)
+), r AS (
+    SELECT h.conv_id, t.nth, t.role, t.text FROM h JOIN t ON t.conv_id = h.conv_id - h.conv_id % 5 AND t.nth <= h.shared
+    UNION ALL
+    SELECT h.conv_id, t.nth + 1000000, t.role, t.text FROM h JOIN t ON t.conv_id = h.conv_id AND t.nth > h.shared
+), s AS (
+    SELECT h.conv_id, coalesce(list({'r': r.role, 't': r.text} ORDER BY r.nth) FILTER (r.nth IS NOT NULL), []) AS turns
+    FROM h LEFT JOIN r ON r.conv_id = h.conv_id GROUP BY h.conv_id
+), p AS (
+    SELECT conv_id, d AS depth, turns[1:d] AS prefix, len(turns) = d AS ends_here
+    FROM s, LATERAL (SELECT unnest(range(len(turns) + 1)) AS d)
+), n AS (
+    SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends_here), '')) AS ends_sha256,
+        (count(*) - 1) * coalesce(octet_length(encode(prefix[depth].t)), 0) AS own
+    FROM p GROUP BY prefix, depth
+), k AS (
+    SELECT n.*, up.conv_id AS parent_conv_id
+    FROM n LEFT JOIN n up ON n.depth > 0 AND up.depth = n.depth - 1 AND up.prefix = n.prefix[1:n.depth - 1]
+), c AS (
+    SELECT prefix[1:depth - 1] AS prefix, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1
+), u AS (
+    SELECT n.prefix[1:d] AS prefix, sum(n.own) AS saved, count(*) FILTER (c.n_children IS NULL) AS n_leaves
+    FROM n LEFT JOIN c ON c.prefix = n.prefix, LATERAL (SELECT unnest(range(n.depth + 1)) AS d) GROUP BY 1
+)
+SELECT k.conv_id, k.depth, k.parent_conv_id, k.n_convs, coalesce(c.n_children, 0) AS n_children, u.n_leaves,
+    CAST(u.saved AS BIGINT) AS saved_tokens, k.ends_sha256
+FROM k LEFT JOIN c ON c.prefix = k.prefix JOIN u ON u.prefix = k.prefix
+"""
+
 OP13 = r"""
 WITH c AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -129,5 +171,6 @@ ORACLES = {
     "op3_exact_dedup": OP3,
     "op6_url_filters": OP6,
     "op8_source_mix": OP8,
+    "op12_prefix_trie": OP12,
     "op13_chat_formatting": OP13,
 }
