@@ -29,7 +29,7 @@ def _documents():
 @pytest.mark.parametrize("name", list(ORACLES))
 def test_query_equals_oracle(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "pages", "conversations"):
+    for table in ("documents", "pages", "conversations", "embeddings"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     result = contract.queries()[name](spark, SMALL)
     relation = duck.sql(ORACLES[name])

@@ -97,6 +97,28 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f
 """
 
+OP11 = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+        CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), p AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.*, CAST(row_number() OVER w AS INTEGER) AS rank, s.id AS negative_id, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id)
+QUALIFY row_number() OVER w <= 5
+"""
+
 # crc32 over decimal digits, bit by bit: 0xEDB88320 is 3988292384.
 OP12 = r"""
 WITH t AS (
@@ -171,6 +193,7 @@ ORACLES = {
     "op3_exact_dedup": OP3,
     "op6_url_filters": OP6,
     "op8_source_mix": OP8,
+    "op11_hard_negatives": OP11,
     "op12_prefix_trie": OP12,
     "op13_chat_formatting": OP13,
 }

@@ -12,6 +12,7 @@ from tremorline.llm.chat_format import chat_segments, check_turns, read_chat
 from tremorline.llm.content_sort import drop_exact_copies
 from tremorline.llm.decontaminate import contaminated_passages
 from tremorline.llm.fuzzy_lines import fuzzy_line_groups
+from tremorline.llm.hyperplane_tree import hard_negatives
 from tremorline.llm.jaccard_join import jaccard_components
 from tremorline.llm.language_ppm import identify, train
 from tremorline.llm.mixing import mix
@@ -103,6 +104,13 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_index(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of every seventh vector are moved on by one, of ten."""
+    table = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 # Conversations that start alike: c takes the start of c - c % 5.
 _FAMILY = 5
 _LONGEST_START = 8
@@ -146,6 +154,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mix": op8_source_mix,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_token_files": op10_token_files,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_chat_formatting": op13_chat_formatting,
 }
