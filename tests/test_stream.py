@@ -6,6 +6,7 @@ from datetime import datetime
 import pytest
 from helpers import DAY, HOUR, T0, document, feature, landing, rows_of
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from tremorline.operators.audit import ingest_audit
 from tremorline.operators.documents import decode_documents, document_counts, explode_features
@@ -26,10 +27,12 @@ from tremorline.sources.landing import (
     read_landing_text,
     stream_landing,
     stream_landing_text,
+    without_number,
 )
 from tremorline.sources.tables import read_raw, read_view, scan_raw
 from tremorline.sources.topic import (
     documents_from_records,
+    publish_stream_to_topic,
     publish_to_topic,
     read_topic,
     stream_topic,
@@ -259,6 +262,52 @@ def test_topic_records_keep_their_order(spark):
     assert [r.value for r in documents.orderBy("doc_seq").collect()] == ["a", "c", "b"]
 
 
+def test_records_carry_their_window_and_number(spark):
+    sent = landing(spark, (7, "x"), (9, "y")).selectExpr("*", "TIMESTAMP_NTZ '2010-04-02 00:00:00' AS window_start")
+    messages = to_messages(sent)
+    assert messages.schema.names == ["key", "value", "headers"]
+    assert {r.key for r in messages.collect()} == {"2010-04-02 00:00:00"}
+    assert {r.key for r in to_messages(sent, F.lit("k")).collect()} == {"k"}
+    records = messages.selectExpr("CAST(value AS BINARY) AS value", "0 AS partition", "100L AS offset", "headers")
+    back = documents_from_records(records)
+    assert back.columns == ["doc_seq", "value", "window_start"]
+    assert rows_of(back) == rows_of(sent)
+
+
+def test_records_with_odd_headers(spark):
+    none, both = None, [("doc_seq", b"x"), ("window_start", b"never"), ("other", b"1")]
+    twice = [("doc_seq", b"4"), ("doc_seq", b"5"), ("window_start", None)]
+    records = spark.createDataFrame(
+        [(b"a", 1, 2, none), (b"b", 1, 3, both), (b"c", 1, 4, twice), (b"d", 1, 5, [])],
+        "value BINARY, partition INT, offset BIGINT, headers ARRAY<STRUCT<key: STRING, value: BINARY>>",
+    )
+    numbers = {r.value: (r.doc_seq, r.window_start) for r in documents_from_records(records).collect()}
+    assert numbers == {"a": ((2 << 16) | 1, None), "b": ((3 << 16) | 1, None), "c": (5, None), "d": ((5 << 16) | 1, None)}
+
+
+def test_streamed_messages_ask_for_the_kafka_sink(spark, tmp_path):
+    stream = spark.readStream.schema(LANDING_SCHEMA).parquet(str(tmp_path))
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        publish_stream_to_topic(to_messages(stream), "broker:9092", "t", str(tmp_path / "c"))
+
+
+def test_files_without_a_number_have_a_defined_winner(spark, tmp_path):
+    texts = [document(feature(n, T0, f"{n}, S")) for n in ("a", "b")]
+    winners = set()
+    for order in (texts, texts[::-1]):
+        for k, text in enumerate([*order, document(feature("n", T0 + HOUR))]):
+            folder = tmp_path / f"{order is texts}"
+            os.makedirs(folder, exist_ok=True)
+            (folder / (f"{'xy'[k]}.json" if k < 2 else "000001.json")).write_text(text)
+        docs = read_landing_text(spark, str(folder))
+        assert rows_of(without_number(docs), "value") == sorted((t,) for t in texts)
+        raw = latest_by_key(normalize_features(explode_features(decode_documents(docs))))
+        winners.add(tuple(rows_of(raw, "id")))
+    assert len(winners) == 1
+    one = docs.where("doc_seq < 0").unionByName(landing(spark, (0, document(feature("late", T0)))))
+    assert rows_of(latest_by_key(normalize_features(explode_features(decode_documents(one)))), "id") == [("late",)]
+
+
 def test_tally_matches_the_documents(spark, ingest):
     for number, text in enumerate(DOCUMENTS, start=1):
         _write(ingest.source, number, text)

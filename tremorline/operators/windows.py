@@ -39,5 +39,5 @@ def plan_windows(bounds: DataFrame) -> DataFrame:
 
 
 def pending_windows(plan: DataFrame, done: DataFrame) -> DataFrame:
-    """Windows of the plan that have not been published successfully."""
+    """Windows of the plan that are not done; see done_windows."""
     return plan.join(done.select("window_start"), "window_start", "left_anti")

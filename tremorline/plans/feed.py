@@ -99,6 +99,26 @@ def damage_weekends(landed: DataFrame) -> DataFrame:
     return landed.withColumn("value", F.when(weekend, broken).otherwise(F.col("value")))
 
 
+def with_bad_entries(landed: DataFrame) -> DataFrame:
+    """The same documents, each with two entries more that are no features, in
+    front, and with every tsunami code 2 no longer a whole number."""
+    more = F.replace("value", F.lit('"features":['), F.lit('"features":[null,5,'))
+    return landed.withColumn("value", F.replace(more, F.lit('"tsunami":2'), F.lit('"tsunami":2.5')))
+
+
+def as_records(messages: DataFrame, partitions: int = 3) -> DataFrame:
+    """Messages as a topic gives them back: partition by key, offsets ascending."""
+    return messages.select(
+        F.col("key").cast("binary").alias("key"),
+        F.col("value").cast("binary").alias("value"),
+        F.lit("events").alias("topic"),
+        F.pmod(F.xxhash64("key"), F.lit(partitions)).cast("int").alias("partition"),
+        F.monotonically_increasing_id().alias("offset"),
+        F.lit(None).cast("timestamp").alias("timestamp"),
+        "headers",
+    )
+
+
 def republished_weekends(raw: DataFrame) -> DataFrame:
     """Weekend rows published again under later numbers, one magnitude up."""
     date = F.date_from_unix_date(F.shiftright("_doc_seq", 32).cast("int"))

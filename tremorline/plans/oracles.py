@@ -144,6 +144,18 @@ _SELECTS = {
                CAST(0 AS BIGINT) AS rejected,
                damaged AS is_corrupt
         FROM docs""",
+    "rejects": """
+        SELECT doc_seq, CAST(0 AS BIGINT) AS position, CAST(NULL AS VARCHAR) AS leaf,
+               'a null entry' AS reason, CAST(NULL AS VARCHAR) AS text
+        FROM docs
+        UNION ALL
+        SELECT doc_seq, 1, NULL, 'not an object', '5' FROM docs
+        UNION ALL
+        SELECT doc_seq, position, 'tsunami', 'not a whole number', '2.5' FROM (
+            SELECT doc_seq, tsunami_code,
+                   1 + row_number() OVER (PARTITION BY doc_seq ORDER BY seq) AS position
+            FROM feed)
+        WHERE tsunami_code = 2""",
     "explode_features": """
         SELECT place,
                CAST(longitude AS VARCHAR) || ' ' || CAST(latitude AS VARCHAR) || ' 10.0'
@@ -178,6 +190,18 @@ _SELECTS = {
                              AS processed_rows
                   FROM docs GROUP BY window_start)
             WINDOW w AS (ORDER BY window_start))""",
+    "topic_audit": """
+        SELECT *, published_running - processed_running AS diff FROM (
+            SELECT window_start, published_count, processed_rows,
+                   CAST(sum(published_count) OVER w AS BIGINT) AS published_running,
+                   CAST(sum(processed_rows) OVER w AS BIGINT) AS processed_running
+            FROM (SELECT window_start,
+                         CAST(sum(CASE WHEN dayofweek(window_start) = 1 THEN 0
+                                       ELSE published_count END) AS BIGINT) AS published_count,
+                         CAST(sum(CASE WHEN damaged THEN 0 ELSE published_count END) AS BIGINT)
+                             AS processed_rows
+                  FROM docs GROUP BY window_start)
+            WINDOW w AS (ORDER BY window_start))""",
     "lookup_raw_month": f"""
         SELECT * EXCLUDE (seq) FROM cur
         WHERE year = '{LOOKUP_YEAR}' AND month = '{LOOKUP_MONTH}'

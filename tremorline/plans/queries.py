@@ -24,8 +24,13 @@ from tremorline.functions import (
     with_state_and_city,
     year_text,
 )
-from tremorline.operators.audit import ingest_audit, publications
-from tremorline.operators.documents import decode_documents, document_counts, explode_features
+from tremorline.operators.audit import done_windows, ingest_audit, publications
+from tremorline.operators.documents import (
+    decode_documents,
+    document_counts,
+    explode_features,
+    rejects,
+)
 from tremorline.operators.normalize import normalize_features
 from tremorline.operators.serving import (
     lookup_day_averages,
@@ -51,6 +56,7 @@ from tremorline.schemas import (
     HOUR_COUNT_KEY,
     HOUR_COUNT_SCHEMA,
     RAW_COLUMNS,
+    TALLY_SCHEMA,
 )
 from tremorline.session import scratch_path
 from tremorline.sources.landing import (
@@ -60,7 +66,7 @@ from tremorline.sources.landing import (
     stream_landing,
 )
 from tremorline.sources.tables import append_raw, compact_raw, read_raw, read_view, scan_raw
-from tremorline.sources.topic import to_messages
+from tremorline.sources.topic import RECORD_SCHEMA, documents_from_records, to_messages
 from tremorline.streaming.ingest import run_available
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,7 +102,7 @@ def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ids() -> Column:
-    return F.array_join(F.col("features.id"), ",").alias("ids")
+    return F.expr("array_join(transform(features, f -> get_json_object(f, '$.id')), ',')").alias("ids")
 
 
 # Sources and sinks
@@ -170,9 +176,9 @@ def plan_windows_over_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pending_windows_after_damage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = decode_documents(_damaged(spark, sf_dir))
-    done = decoded.groupBy("window_start").agg(F.max("is_corrupt").alias("failed")).where("NOT failed")
-    return pending_windows(plan_windows(_bounds(spark, sf_dir)), done)
+    published = publications(_landing(spark, sf_dir))
+    tallies = document_counts(decode_documents(_damaged(spark, sf_dir)))
+    return pending_windows(plan_windows(_bounds(spark, sf_dir)), done_windows(published, tallies))
 
 
 # Documents
@@ -185,7 +191,13 @@ def decode_landed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_counts_of_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return document_counts(decode_documents(_damaged(spark, sf_dir)))
+    counted = document_counts(decode_documents(_damaged(spark, sf_dir)))
+    return counted.select("doc_seq", "count", "feature_rows", "rejected", "is_corrupt")
+
+
+def rejects_of_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landed = feed.with_bad_entries(_landing(spark, sf_dir))
+    return rejects(decode_documents(landed)).withColumn("position", F.col("position").cast("bigint"))
 
 
 def explode_landed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,6 +290,25 @@ def ingest_audit_after_damage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest_audit(publications(sent), document_counts(decode_documents(received)))
 
 
+def topic_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents through a topic to the audit: Saturdays damaged, Sundays lost on
+    the way, Mondays not noted by the publisher."""
+    folder = scratch_path(spark, "topic")
+    sent = _landing(spark, sf_dir)
+    day = F.dayofweek("window_start")
+    received = feed.damage_weekends(sent).where(day != 1)
+    feed.as_records(to_messages(received)).write.parquet(f"{folder}/topic")
+    records = spark.readStream.schema(RECORD_SCHEMA).parquet(f"{folder}/topic")
+    run_available(
+        documents_from_records(records),
+        raw_log=f"{folder}/raw",
+        tally_log=f"{folder}/tally",
+        checkpoint=f"{folder}/checkpoint",
+    )
+    tallies = spark.read.schema(TALLY_SCHEMA).parquet(f"{folder}/tally")
+    return ingest_audit(publications(sent.where(day != 2)), tallies)
+
+
 # Serving
 
 
@@ -326,6 +357,7 @@ QUERIES: dict[str, Query] = {
     "pending_windows": pending_windows_after_damage,
     "decode_documents": decode_landed_documents,
     "document_counts": document_counts_of_landing,
+    "rejects": rejects_of_landing,
     "explode_features": explode_landed_features,
     "normalize_features": normalize_landed_features,
     "parse_place": parse_place_column,
@@ -339,6 +371,7 @@ QUERIES: dict[str, Query] = {
     "sql_count_by_hour": sql_count_by_hour,
     "sql_avg_by_day": sql_avg_by_day,
     "ingest_audit": ingest_audit_after_damage,
+    "topic_audit": topic_audit,
     "lookup_raw_month": lookup_raw,
     "lookup_hour_counts": lookup_hours,
     "lookup_day_averages": lookup_days,

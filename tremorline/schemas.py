@@ -1,22 +1,24 @@
 """Table shapes, keys and storage order."""
 
-# The JSON members read from an event document. Numbers are read as
-# text, so that one of the wrong type costs no more than itself.
-DOCUMENT_SCHEMA = """
-    metadata: STRUCT<count: STRING>,
-    features: ARRAY<STRUCT<
-        id: STRING,
-        properties: STRUCT<
-            place: STRING,
-            time: STRING,
-            mag: STRING,
-            magType: STRING,
-            tsunami: STRING,
-            type: STRING,
-            alert: STRING,
-            sig: STRING,
-            net: STRING>,
-        geometry: STRUCT<coordinates: ARRAY<STRING>>>>
+# The JSON members read from an event document. A document is read
+# down to its features, each still a text, and features one by one: one that is
+# broken costs no more than itself. Numbers are read as text for the same reason.
+DOCUMENT_SCHEMA = "metadata: STRING, features: ARRAY<STRING>"
+MALFORMED = "_malformed"
+FEATURE_SCHEMA = f"""
+    id STRING,
+    properties STRUCT<
+        place: STRING,
+        time: STRING,
+        mag: STRING,
+        magType: STRING,
+        tsunami: STRING,
+        type: STRING,
+        alert: STRING,
+        sig: STRING,
+        net: STRING>,
+    geometry STRUCT<coordinates: ARRAY<STRING>>,
+    {MALFORMED} STRING
 """
 
 # The leaves of one feature, in output order.
@@ -35,15 +37,22 @@ FEATURE_LEAVES = {
 }
 
 # A landed document. doc_seq is its publish number: a property of the source
-# (offset, number in the file name), never of the run that reads it.
+# (header, offset, number in the file name), never of the run that reads it. One
+# that has no number gets one below zero from its text. Sources that know a
+# document's window carry it in a further column, window_start.
 LANDING_SCHEMA = "doc_seq BIGINT, value STRING"
 
 # What the publisher notes per attempt, and what the ingest notes per document.
 PUBLICATION_SCHEMA = "window_start TIMESTAMP_NTZ, doc_seq BIGINT, published_count BIGINT"
 TALLY_SCHEMA = (
-    "doc_seq BIGINT, count BIGINT, feature_rows BIGINT, rejected BIGINT, is_corrupt BOOLEAN"
+    "doc_seq BIGINT, count BIGINT, feature_rows BIGINT, rejected BIGINT, bad_leaves BIGINT,"
+    " is_corrupt BOOLEAN, window_start TIMESTAMP_NTZ"
 )
 
+# What of a document did not decode: the document (no position), a feature (no
+# leaf), or one leaf of a feature that itself stays.
+REJECT_SCHEMA = "doc_seq BIGINT, position INT, leaf STRING, reason STRING, text STRING"
+
 # The raw event table.
 RAW_FIELDS = {
     "year": "STRING",

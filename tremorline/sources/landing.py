@@ -17,10 +17,23 @@ SEQUENCE_WIDTH = 20
 _NUMBER_IN_PATH = r"/(?:doc_seq=)?(\d+)(?:(?:\.[A-Za-z]+){1,2}$|/part-[^/]*$)"
 
 
+def unnumbered(value: Column) -> Column:
+    """A publish number for a document that has none, from its text.
+
+    Below zero, so that it yields to all that have one; the same in every run,
+    so that of two such documents the same one wins.
+    """
+    return -1 - F.xxhash64(value).bitwiseAND(F.lit(2**63 - 1))
+
+
+def without_number(documents: DataFrame) -> DataFrame:
+    """The documents that came without a publish number."""
+    return documents.where("doc_seq < 0")
+
+
 def _sequence_from_path() -> Column:
-    # A file without a number in its name has none: it yields to all that have one.
     number = F.regexp_extract(F.col("_metadata.file_path"), _NUMBER_IN_PATH, 1)
-    return number.try_cast("bigint").alias("doc_seq")
+    return F.coalesce(number.try_cast("bigint"), unnumbered(F.col("value"))).alias("doc_seq")
 
 
 def read_landing_text(spark: SparkSession, path: str) -> DataFrame:

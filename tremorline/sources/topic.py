@@ -11,14 +11,35 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
+# The headers in which a message carries its document's identity.
+WINDOW_HEADER, NUMBER_HEADER = "window_start", "doc_seq"
+
+# A topic's records, as the source gives them with headers.
+RECORD_SCHEMA = (
+    "key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP,"
+    " headers ARRAY<STRUCT<key: STRING, value: BINARY>>"
+)
+
+
 def to_messages(documents: DataFrame, key: Column | None = None) -> DataFrame:
-    """One (key, value) message per document; the key is null unless given.
+    """One (key, value) message per document.
 
-    On a topic with several partitions, key by window: only then do two
-    publications of a window keep their order.
+    Where documents know their window, a message also carries headers, window and
+    publish number, from which the reader knows the document again; its key is
+    then the window unless another is given, so that on a topic with several
+    partitions two publications of a window keep their order.
     """
-    message_key = F.lit(None) if key is None else key
-    return documents.select(message_key.cast("string").alias("key"), F.col("value"))
+    knows_window = "window_start" in documents.columns
+    if key is None:
+        key = F.col("window_start") if knows_window else F.lit(None)
+    message = [key.cast("string").alias("key"), F.col("value")]
+    if knows_window:
+        identity = [
+            F.struct(F.lit(name).alias("key"), F.col(column).cast("string").cast("binary").alias("value"))
+            for name, column in ((WINDOW_HEADER, "window_start"), (NUMBER_HEADER, "doc_seq"))
+        ]
+        message.append(F.array(*identity).alias("headers"))
+    return documents.select(*message)
 
 
 def publish_to_topic(messages: DataFrame, servers: str, topic: str) -> None:
@@ -44,19 +65,35 @@ def publish_stream_to_topic(
     )
 
 
+def _header(name: str) -> Column:
+    """The text of a record's last header of that name, or null."""
+    found = F.expr(f"try_element_at(filter(headers, h -> h.key = '{name}'), -1).value")
+    return found.cast("string")
+
+
 def documents_from_records(records: DataFrame) -> DataFrame:
     """Topic records to landed documents.
 
-    Keeps the value and makes the offset the publish number; a topic's
-    partitions share the numbers out among themselves, which leaves the order
-    within a partition as it is. The partition must fit in 16 bits.
+    With headers, a document has the publish number and the window under which
+    it was sent (doc_seq, value, window_start). Without, or where a header does
+    not hold a number, the offset is the publish number; a topic's partitions
+    share these out among themselves, which leaves the order within a partition
+    as it is. The partition must then fit in 16 bits. Do not mix both kinds of
+    numbers in one log: which of two documents is later is told by them.
     """
     partition = F.col("partition").cast("bigint")
     too_many = F.raise_error(F.lit("a topic's partition number must fit in 16 bits")).cast("bigint")
     number = F.when(partition > 65_535, too_many).otherwise(
         F.shiftleft(F.col("offset"), 16).bitwiseOR(partition)
     )
-    return records.select(number.alias("doc_seq"), F.col("value").cast("string").alias("value"))
+    value = F.col("value").cast("string").alias("value")
+    if "headers" not in records.columns:
+        return records.select(number.alias("doc_seq"), value)
+    return records.select(
+        F.coalesce(_header(NUMBER_HEADER).try_cast("bigint"), number).alias("doc_seq"),
+        value,
+        _header(WINDOW_HEADER).try_cast("timestamp_ntz").alias("window_start"),
+    )
 
 
 def read_topic(spark: SparkSession, servers: str, topic: str) -> DataFrame:
@@ -66,6 +103,7 @@ def read_topic(spark: SparkSession, servers: str, topic: str) -> DataFrame:
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
+        .option("includeHeaders", True)
         .load()
     )
     return documents_from_records(records)
@@ -80,6 +118,7 @@ def stream_topic(
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
+        .option("includeHeaders", True)
     )
     if max_offsets is not None:
         reader = reader.option("maxOffsetsPerTrigger", max_offsets)
