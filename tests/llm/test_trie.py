@@ -63,7 +63,7 @@ def test_hot_groups_cross_partitions(spark):
     a, b, c = ((bytes([k]) * 16, k) for k in (1, 2, 3))
     sequences = {i: (a, b) for i in range(200)}
     sequences |= {1000 + i: (a, b, c) if i % 3 else (a,) for i in range(60)} | {2000 + i: () for i in range(50)}
-    sequences[5000] = (a, b, *[c] * 3000)
+    sequences[5000] = (a, b, *[c] * 120)
     assert _trie(spark, sequences, 11) == _plain(sequences)
 
 
