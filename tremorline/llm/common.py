@@ -28,6 +28,15 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def forget(table: DataFrame) -> None:
+    """Delete the files of a saved table that nothing will read again."""
+    spark = table.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+        path = hadoop.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def word_count(text: Column) -> Column:
     """Number of words; null counts 0."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("bigint")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremorline.llm.common import saved
+from tremorline.llm.common import forget, saved
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -29,7 +29,8 @@ def components(edges: DataFrame) -> DataFrame:
     Each round hangs all neighbours of an id on the least of them; the rounds
     grow with the logarithm of the longest path. Minima are taken in partial
     aggregates, and the joins' hot side is rows of edges, which skew handling
-    can split. Every round is written to the scratch folder. Nulls, loops and
+    can split. Every round is written to the scratch folder, and the round before
+    removed: what follows starts from the files written last. Nulls, loops and
     repeated edges are ignored; no edges give no rows.
     """
     current = saved(edges.where("a <> b").select("a", "b").distinct(), "edges")
@@ -40,7 +41,8 @@ def components(edges: DataFrame) -> DataFrame:
             break
         before = now
         starred = _small_star(_large_star(current).distinct())
-        current = saved(starred.distinct(), "edges")
+        current, earlier = saved(starred.distinct(), "edges"), current
+        forget(earlier)
     return current.select(F.col("a").alias("id"), F.col("b").alias("component")).union(
         current.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     )

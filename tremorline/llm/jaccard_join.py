@@ -18,8 +18,11 @@ WIDTH = 5
 # Link when 100 * intersection >= PERCENT * union.
 PERCENT = 80
 
-# Counters of list lengths: a fixed 4 MB, whatever the input.
-_LENGTH_BITS = 20
+# Counters of list lengths: a fixed 8 MB, whatever the input. A counter adds up
+# the lists that fall on it; a passage that a share of all documents hold stands
+# out of that at any size.
+_LENGTH_BITS = 22
+_MOST_LENGTH = (1 << 16) - 1
 _BLOCK = 4096
 
 # Least bits of a set's outline. An outline has at least as many bits as its set
@@ -27,7 +30,7 @@ _BLOCK = 4096
 _OUTLINE_BITS = 512
 
 # Bits of the first, coarse look inside a list.
-_COARSE_LONGS = 4
+_COARSE_LONGS = 8
 
 _A_TO_Z = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -58,30 +61,33 @@ def _list_lengths(texts: DataFrame, width: int) -> np.ndarray:
         counts = np.zeros(1 << _LENGTH_BITS, dtype=np.int64)
         for batch in slices(batches, "text"):
             found = np.concatenate([*_sets(batch, "text", width), np.zeros(0, np.uint64)])
-            counts += np.bincount((found >> np.uint64(64 - _LENGTH_BITS)).astype(np.int64), minlength=len(counts))
+            np.add.at(counts, (found >> np.uint64(64 - _LENGTH_BITS)).astype(np.int64), 1)
         if counts.any():
             blocks = counts.reshape(-1, _BLOCK)
-            small = blocks.max() < 1 << 16
-            data = [b.astype("<u2" if small else "<i8").tobytes() for b in blocks]
+            kind = next(k for k in ("<u1", "<u2", "<i8") if blocks.max() <= np.iinfo(k).max)
+            data = [b.astype(kind).tobytes() for b in blocks]
             yield pa.RecordBatch.from_pydict({"block": pa.array(range(len(blocks)), pa.int32()), "counts": data})
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                values = np.frombuffer(data, "<u2" if len(data) == 2 * _BLOCK else "<i8")
+                values = np.frombuffer(data, {1: "<u1", 2: "<u2", 8: "<i8"}[len(data) // _BLOCK])
                 sums[block] = sums[block] + values if block in sums else values.astype(np.int64)
         if sums:
             yield pa.RecordBatch.from_pydict(
-                {"block": pa.array(sums, pa.int32()), "counts": [v.astype("<i8").tobytes() for v in sums.values()]}
+                {
+                    "block": pa.array(sums, pa.int32()),
+                    "counts": [np.minimum(v, _MOST_LENGTH).astype("<u2").tobytes() for v in sums.values()],
+                }
             )
 
     shape = "block INT, counts BINARY"
     blocks = texts.select("text").mapInArrow(count, shape).repartition("block").mapInArrow(add, shape)
-    lengths = np.zeros((1 << _LENGTH_BITS) // _BLOCK * _BLOCK, dtype=np.int64)
+    lengths = np.zeros(1 << _LENGTH_BITS, dtype=np.uint16)
     for block, data in blocks.collect():
-        lengths[block * _BLOCK : (block + 1) * _BLOCK] = np.frombuffer(data, "<i8")
-    return np.minimum(lengths, np.iinfo(np.int32).max).astype(np.int32)
+        lengths[block * _BLOCK : (block + 1) * _BLOCK] = np.frombuffer(data, "<u2")
+    return lengths
 
 
 def _short_lists(texts: DataFrame, lengths: np.ndarray, width: int, percent: int) -> DataFrame:
