@@ -24,13 +24,19 @@ def lookup_raw_month(
     until_millis: int | None = None,
 ) -> DataFrame:
     """Events of one month. year and month are partition columns and part of the
-    upsert key, so both reach the scan even through latest_by_key."""
+    upsert key, so both reach the scan even through latest_by_key.
+
+    A range is asked twice: timestamp is part of the key and passes latest_by_key;
+    unix_timestamp, the same time as a number, has statistics in the files, by
+    which a base skips what lies outside.
+    """
     in_month = (F.col("year") == year) & (F.col("month") == month)
     since, until = (
         None if millis is None else F.timestamp_millis(F.lit(millis).cast("bigint"))
         for millis in (since_millis, until_millis)
     )
-    wanted = current.where(in_month & _between("timestamp", since, until))
+    in_range = _between("timestamp", since, until) & _between("unix_timestamp", since_millis, until_millis)
+    wanted = current.where(in_month & in_range)
     return wanted.orderBy(F.desc("timestamp"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremorline.schemas import DAY_AVERAGE_KEY, HOUR_COUNT_KEY
+from tremorline.schemas import DAY_AVERAGE_KEY, HOUR_COUNT_KEY, RAW_PARTITIONS
 
 # The name under which SQL text finds the current raw rows, and
 # the two statements that are run against it.
@@ -52,6 +52,25 @@ def avg_magnitude_by_day(current: DataFrame, decimals: int | None = None) -> Dat
     )
 
 
+def magnitude_sums_by_day(current: DataFrame, decimals: int | None = None) -> DataFrame:
+    """Sum and number of magnitudes per place and UTC day, with year and month.
+
+    Rows without a magnitude do not count, as in avg_magnitude_by_day; with
+    decimals they count in the number, as there. Sums of parts can be added.
+    """
+    if decimals is None:
+        total, rows = F.sum("magnitude"), F.count("magnitude")
+    else:
+        total, rows = F.sum(F.col("magnitude").cast(f"decimal(18,{decimals})")), F.count("*")
+    return current.groupBy(*DAY_AVERAGE_KEY, *RAW_PARTITIONS).agg(total.alias("total"), rows.alias("rows"))
+
+
+def average_of_sums(sums: DataFrame) -> DataFrame:
+    """Averages from magnitude_sums_by_day, of parts or wholes; no magnitudes give 0."""
+    added = sums.groupBy(*DAY_AVERAGE_KEY).agg(F.sum("total").cast("double").alias("total"), F.sum("rows").alias("rows"))
+    return added.select(*DAY_AVERAGE_KEY, F.coalesce(F.try_divide("total", "rows"), F.lit(0.0)).alias("average"))
+
+
 def register_raw(current: DataFrame, name: str = RAW_VIEW) -> None:
     """Let SQL text address the current raw rows."""
     current.createOrReplaceTempView(name)

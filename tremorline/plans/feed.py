@@ -69,6 +69,11 @@ def features(spark: SparkSession, sf_dir: str, per_document: int = DOCUMENT_FEAT
     )
 
 
+def spread_over_months(rows: DataFrame) -> DataFrame:
+    """The same features, four of five moved on by 30, 60, 90 and 120 days."""
+    return rows.withColumn("time", F.col("time") + F.col("arrival") % 5 * (30 * 86_400_000)).drop("window_start")
+
+
 def documents(rows: DataFrame) -> DataFrame:
     """Pack features into documents: (window_start, doc_seq, value).
 
@@ -122,7 +127,12 @@ def as_records(messages: DataFrame, partitions: int = 3) -> DataFrame:
 def republished_weekends(raw: DataFrame) -> DataFrame:
     """Weekend rows published again under later numbers, one magnitude up."""
     date = F.date_from_unix_date(F.shiftright("_doc_seq", 32).cast("int"))
-    return raw.where(F.dayofweek(date).isin(1, 7)).withColumns(
+    return republished(raw.where(F.dayofweek(date).isin(1, 7)))
+
+
+def republished(raw: DataFrame) -> DataFrame:
+    """Rows published again under later numbers, one magnitude up."""
+    return raw.withColumns(
         {
             "magnitude": F.col("magnitude") + 1,
             "_doc_seq": F.col("_doc_seq") + F.shiftleft(F.lit(1).cast("bigint"), 60),

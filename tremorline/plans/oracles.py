@@ -5,10 +5,14 @@ from __future__ import annotations
 from tremorline.functions.place import DISTANCE_PLACE, PLAIN_PLACE, UNKNOWN
 from tremorline.plans.feed import DOCUMENT_FEATURES
 from tremorline.plans.queries import (
+    AGAIN_MONTH,
     AVERAGE_DECIMALS,
+    LATE_MONTH,
     LOOKUP_CITY,
     LOOKUP_MONTH,
+    LOOKUP_SINCE,
     LOOKUP_STATE,
+    LOOKUP_UNTIL,
     LOOKUP_YEAR,
 )
 
@@ -215,4 +219,42 @@ _SELECTS = {
     "hour_counts_from_documents": _HOURS.format(rows="cur"),
 }
 
-ORACLES: dict[str, str] = {name: _FEED + select for name, select in _SELECTS.items()}
+# The feed spread over months, and its rows after some months were published again.
+_MONTHS = (
+    _FEED.replace(
+        "date_trunc('minute', e.ts) AS ts,",
+        "date_trunc('minute', e.ts) + to_days(CAST(e.event_id % 5 * 30 AS INTEGER)) AS ts,",
+    )
+    + """,
+later AS (
+    SELECT * FROM raw
+    UNION ALL
+    SELECT * REPLACE (magnitude + 1 AS magnitude, seq + 1000000000000000 AS seq)
+    FROM raw WHERE month IN ({months})
+),
+now AS (
+    SELECT * EXCLUDE (seq) FROM later
+    QUALIFY row_number() OVER (PARTITION BY year, month, "timestamp" ORDER BY seq DESC) = 1
+)
+"""
+)
+_BOTH = f"'{AGAIN_MONTH}', '{LATE_MONTH}'"
+_MONTH_SELECTS = {
+    "scan_months": _MONTHS.format(months=_BOTH) + "SELECT * FROM now",
+    "refresh_months": _MONTHS.format(months=_BOTH)
+    + f"""
+        SELECT state, city, date, CAST(count(*) AS BIGINT) AS events,
+               CAST(sum(CAST(magnitude AS DECIMAL(18,{AVERAGE_DECIMALS}))) AS DOUBLE) / count(*) AS average
+        FROM now GROUP BY ALL""",
+    "lookup_raw_range": _MONTHS.format(months=f"'{AGAIN_MONTH}'")
+    + f"""
+        SELECT * FROM now
+        WHERE year = '{LOOKUP_YEAR}' AND month = '{AGAIN_MONTH}'
+            AND unix_timestamp BETWEEN {LOOKUP_SINCE} AND {LOOKUP_UNTIL}
+        ORDER BY "timestamp" DESC""",
+}
+
+ORACLES: dict[str, str] = {
+    **{name: _FEED + select for name, select in _SELECTS.items()},
+    **_MONTH_SELECTS,
+}

@@ -65,7 +65,16 @@ from tremorline.sources.landing import (
     read_landing_text,
     stream_landing,
 )
-from tremorline.sources.tables import append_raw, compact_raw, read_raw, read_view, scan_raw
+from tremorline.sources.months import months_in
+from tremorline.sources.tables import (
+    append_raw,
+    compact_base,
+    compact_raw,
+    read_raw,
+    read_view,
+    scan_base,
+    scan_raw,
+)
 from tremorline.sources.topic import RECORD_SCHEMA, documents_from_records, to_messages
 from tremorline.streaming.ingest import run_available
 
@@ -77,6 +86,9 @@ AVERAGE_DECIMALS = 4
 # The place and month that the lookups ask for.
 LOOKUP_STATE, LOOKUP_CITY = "NATION_2", "click"
 LOOKUP_YEAR, LOOKUP_MONTH = "2024", "01"
+# Months that are published again, and a range of times (UTC milliseconds) in the first.
+AGAIN_MONTH, LATE_MONTH = "03", "02"
+LOOKUP_SINCE, LOOKUP_UNTIL = 1_709_596_800_000, 1_710_000_000_000
 
 
 def _zoneless(raw: DataFrame) -> DataFrame:
@@ -336,6 +348,51 @@ def lookup_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup_day_averages(view, LOOKUP_STATE, LOOKUP_CITY)
 
 
+# By month
+
+
+def _months_base(spark: SparkSession, sf_dir: str, folder: str) -> tuple[str, str]:
+    """A base of several months after two compactions, the second of one month's
+    rows published again, and a log of another month's."""
+    raw = normalize_features(feed.spread_over_months(feed.features(spark, sf_dir)))
+    base, log = f"{folder}/base", f"{folder}/log"
+    append_raw(raw, f"{folder}/first")
+    compact_base(spark, base, f"{folder}/first")
+    append_raw(feed.republished(raw.where(F.col("month") == AGAIN_MONTH)), f"{folder}/second")
+    compact_base(spark, base, f"{folder}/second")
+    append_raw(feed.republished(raw.where(F.col("month") == LATE_MONTH)), log)
+    return base, log
+
+
+def scan_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base, log = _months_base(spark, sf_dir, scratch_path(spark, "months"))
+    return _zoneless(scan_base(spark, base, log))
+
+
+def refresh_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both views by month, as of the base; then the log's month alone again."""
+    folder = scratch_path(spark, "month-views")
+    base, log = _months_base(spark, sf_dir, folder)
+    hours, days = f"{folder}/hours", f"{folder}/days"
+    refresh_first = {"base": base}
+    jobs.refresh_hour_months(spark, hours, **refresh_first)
+    jobs.refresh_day_months(spark, days, **refresh_first, decimals=AVERAGE_DECIMALS)
+    late = months_in(spark, log)
+    jobs.refresh_hour_months(spark, hours, base, log, late)
+    jobs.refresh_day_months(spark, days, base, log, late, decimals=AVERAGE_DECIMALS)
+    counts = jobs.read_hour_months(spark, hours).groupBy("state", "city", "date").agg(F.sum("count").alias("events"))
+    averages = jobs.read_day_months(spark, days, decimals=AVERAGE_DECIMALS)
+    return counts.join(averages, ["state", "city", "date"])
+
+
+def lookup_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "lookup-range")
+    base, _ = _months_base(spark, sf_dir, folder)
+    return _zoneless(
+        lookup_raw_month(scan_base(spark, base), LOOKUP_YEAR, AGAIN_MONTH, LOOKUP_SINCE, LOOKUP_UNTIL)
+    )
+
+
 # End to end
 
 
@@ -375,5 +432,8 @@ QUERIES: dict[str, Query] = {
     "lookup_raw_month": lookup_raw,
     "lookup_hour_counts": lookup_hours,
     "lookup_day_averages": lookup_days,
+    "scan_months": scan_months,
+    "refresh_months": refresh_months,
+    "lookup_raw_range": lookup_range,
     "hour_counts_from_documents": hour_counts_from_documents,
 }

@@ -94,6 +94,10 @@ HOUR_COUNT_KEY = ["state", "city", "date", "hour"]
 DAY_AVERAGE_SCHEMA = "state STRING, city STRING, date STRING, average DOUBLE"
 DAY_AVERAGE_KEY = ["state", "city", "date"]
 
+# The same views stored by month, in a form that adds up.
+HOUR_STATE_SCHEMA = f"{HOUR_COUNT_SCHEMA}, year STRING, month STRING"
+DAY_STATE_SCHEMA = "state STRING, city STRING, date STRING, total {total}, rows BIGINT, year STRING, month STRING"
+
 # Storage order inside each key's partition: newest first.
 HOUR_COUNT_NEWEST_FIRST = ["date", "hour"]
 DAY_AVERAGE_NEWEST_FIRST = ["date"]

@@ -19,6 +19,13 @@ from tremorline.schemas import (
     RAW_PARTITIONS,
     SEQUENCE_COLUMNS,
 )
+from tremorline.sources.months import (
+    Snapshot,
+    months_in,
+    read_months,
+    replace_months,
+    snapshot,
+)
 
 _LOG_COLUMNS = [*RAW_COLUMNS, *SEQUENCE_COLUMNS]
 
@@ -131,6 +138,73 @@ def compact_raw(
     return [target] if others is None else [*base, target]
 
 
+def _log_rows(spark: SparkSession, log: str, months: Sequence[str]) -> DataFrame:
+    """A log's rows, of the months that its listing names."""
+    if not months:
+        return spark.createDataFrame([], RAW_LOG_SCHEMA).select(_LOG_COLUMNS)
+    paths = [f"{log}/{month}" for month in months]
+    return spark.read.schema(RAW_LOG_SCHEMA).option("basePath", log).parquet(*paths).select(_LOG_COLUMNS)
+
+
+def _with_log(
+    spark: SparkSession, table: str, at: Snapshot, log: str, keys: Sequence[str]
+) -> tuple[DataFrame, list[str] | None]:
+    """(reconciled rows of the months that the log touches, these months).
+
+    Keys without year and month may lie in several months: then all months count
+    as touched, which is None.
+    """
+    touched = months_in(spark, log)
+    recent = _log_rows(spark, log, touched)
+    months = touched if set(RAW_PARTITIONS) <= set(keys) else None
+    settled = read_months(spark, table, at, RAW_LOG_SCHEMA, months).select(_LOG_COLUMNS)
+    return latest_by_key(settled.unionByName(recent), keys), months
+
+
+def scan_base(
+    spark: SparkSession,
+    table: str,
+    log: str | None = None,
+    keys: Sequence[str] = RAW_KEY,
+    months: Sequence[str] | None = None,
+) -> DataFrame:
+    """Current raw rows of a base that compact_base keeps, and of a log beyond it.
+
+    What lies where is known from the base's manifest and the log's listing, so
+    no job is run before the action. The base is one scan over the folders of
+    its live months, however many compactions made it; with a log, a second one
+    over the months that the log touches, which alone are reconciled. months:
+    only these, as month_path names them.
+    """
+    at = snapshot(spark, table)
+    if months is not None:
+        at = Snapshot(at.version, {m: f for m, f in at.months.items() if m in set(months)})
+    if log is None:
+        return read_months(spark, table, at, RAW_LOG_SCHEMA).select(RAW_COLUMNS)
+    changed, touched = _with_log(spark, table, at, log, keys)
+    if touched is None:
+        return changed.select(RAW_COLUMNS)
+    if months is not None:
+        nothing = F.lit("__HIVE_DEFAULT_PARTITION__")
+        named = [F.concat(F.lit(f"{c}="), F.coalesce(c, nothing)) for c in RAW_PARTITIONS]
+        changed = changed.where(F.concat_ws("/", *named).isin(list(months)))
+    others = read_months(spark, table, at, RAW_LOG_SCHEMA, set(at.months) - set(touched))
+    return others.select(RAW_COLUMNS).unionByName(changed.select(RAW_COLUMNS))
+
+
+def compact_base(spark: SparkSession, table: str, log: str, keys: Sequence[str] = RAW_KEY) -> Snapshot:
+    """Fold a log into the base and commit the base's next version.
+
+    Months that the log does not touch stay where they are. Rows lie newest
+    first, by the 64-bit time, whose statistics let a range of times skip what
+    lies outside, and end with the source sequence, so that even one time can be
+    split. The log can go afterwards.
+    """
+    at = snapshot(spark, table)
+    changed, touched = _with_log(spark, table, at, log, keys)
+    return replace_months(changed, table, at, [F.desc("unix_timestamp"), *SEQUENCE_COLUMNS], touched)
+
+
 def write_view(
     view: DataFrame, target: str, place: Sequence[str], newest_first: Sequence[str]
 ) -> None:
