@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from tremorline.llm import fuzzy_lines, language_ppm, simple8b, suffix_tree_lm
+from tremorline.llm import fuzzy_lines, language_ppm, simple8b, suffix_tree_lm, token_files
 from tremorline.llm.content_sort import drop_exact_copies
 from tremorline.llm.decontaminate import contaminated_passages
 from tremorline.llm.fuzzy_lines import fuzzy_line_groups
@@ -105,6 +105,30 @@ def test_languages(docs):
     assert {(r[1], r[2]) for r in _by_id(untrained, "lang_pred", "score")} == {("und", 0.0)}
 
 
+def test_noise_and_unlearned_languages_are_rejected(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rng = np.random.default_rng(4)
+    alien = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz ;/.,"), n)) for n in (30, 60, 300, 2000) for _ in range(5)]
+    alien += [
+        "Watu wote wamezaliwa huru, hadhi na haki zao ni sawa. Wote wamejaliwa akili na dhamiri.",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+        "Alla människor är födda fria och lika i värde och rättigheter.", "12 34", "", None,
+    ]
+    more = spark.createDataFrame([(-1 - i, t, None, None, 0) for i, t in enumerate(alien)], documents.schema)
+    kept = {r.doc_id for r in language_ppm.readable_documents(documents.union(more)).select("doc_id").collect()}
+    lettered = {r.doc_id for r in documents.where(r"text RLIKE '\\p{L}'").select("doc_id").collect()}
+    assert kept == lettered and len(lettered) > 900
+
+
+def test_languages_beyond_the_bounds_are_not_learned(spark):
+    rows = [(i, f"{'abcde'[i % 5] * 3} " * 9, f"l{i % 5}") for i in range(200)] + [(0, "aaa " * 9, "l0")] * 50
+    labelled = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING")
+    assert language_ppm.train(labelled).languages == [f"l{k}" for k in range(5)]
+    assert language_ppm.train(labelled, most_languages=2).languages == ["l0", "l1"]
+    few = language_ppm.train(labelled, documents_per_language=20)
+    assert len(few.languages) == 5
+
+
 def test_scores(docs):
     model = suffix_tree_lm.train(docs)
     full = _by_id(suffix_tree_lm.score(docs, model), "n_tokens", "n_known", "base_score")
@@ -200,6 +224,25 @@ def test_tokens(docs):
     assert token_index(docs.limit(0), tokenizer_path()).count() == 0
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_any_tokenizer_gives_its_own_ids(name):
+    import os
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    folder = os.path.dirname(str(public_tokenizers.path("word_bpe_49k.json")))
+    if name not in os.listdir(folder):
+        pytest.skip(f"no {name}")
+    path = str(public_tokenizers.path(name))
+    tokenizer, encode = Tokenizer.from_file(path), token_files.text_encoder(path)
+    texts = [t for _, t in ROWS if t is not None] + ["Two  spaces, it's\n\tTABS é́ 12 <|im_end|>", " lead", "trail ", "x" * 9000, "Ünï\u3000wide"]
+    for batch in (texts, texts[::-1], [t + " more" for t in texts]):
+        flat, sizes = encode([t.encode() for t in batch])
+        want = [tokenizer.encode(t, add_special_tokens=False).ids for t in batch]
+        assert flat.tolist() == [i for ids in want for i in ids] and sizes.tolist() == list(map(len, want))
+
+
 @pytest.mark.parametrize("top", [2, 200, 49_408, 1 << 40, (1 << 64) - 1])
 def test_simple8b_round_trip(top):
     for n in (0, 1, 511, 512, 513, 5000):

@@ -8,14 +8,16 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tremorline.llm.words import slices
 
-# Training texts per language, chosen by hash: the bound of the labelled sample.
+# Training texts per language, chosen by hash, and languages, those with the most
+# labelled rows: the bounds of the labelled sample.
 DOCUMENTS_PER_LANGUAGE = 2000
+MOST_LANGUAGES = 200
 
 # Longest context in bytes.
 ORDER = 3
@@ -61,25 +63,28 @@ def train(
     text_column: str = "text",
     language_column: str = "lang",
     documents_per_language: int = DOCUMENTS_PER_LANGUAGE,
+    most_languages: int = MOST_LANGUAGES,
 ) -> PpmModel:
     """Count contexts over a bounded sample of labelled rows.
 
-    Per language, the documents_per_language rows with the smallest hashed ids
-    are used, with their whole texts. Rows with a null id, text or language are
-    not. Counts are summed by Spark; the driver receives the different n-grams of
-    the sample, so what it holds is bounded by the sample.
+    Of each language, the rows are used whose hashed id lies below the cut that
+    leaves documents_per_language of all its rows, give or take the hash's
+    chance; all, if it has no more. Rows are filtered where they lie: no task
+    sees a language whole. Texts are used whole, rows that repeat an id once;
+    rows with a null id, text or language are not used, and neither are
+    languages beyond the most_languages with the most rows. Counts are summed by
+    Spark; the driver receives the different n-grams of the sample, so what it
+    holds is bounded by the sample.
     """
     rows = labelled.select(
         F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(language_column).alias("language")
     ).dropna()
-    by_hash = Window.partitionBy("language").orderBy(F.xxhash64("id"), "id")
-    chosen = (
-        rows.select("id", "language")
-        .withColumn("place", F.row_number().over(by_hash))
-        .where(F.col("place") <= documents_per_language)
-        .select("id", "language")
-        .distinct()
-    )
+    sizes = rows.groupBy("language").count().orderBy(F.desc("count"), "language").limit(most_languages).collect()
+    cuts = [
+        (r.language, min(2**63 - 1, -(2**63) + 2**64 * documents_per_language // max(1, r["count"]))) for r in sizes
+    ]
+    # One row a language.
+    cut = rows.sparkSession.createDataFrame(cuts, "language STRING, cut BIGINT")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -103,9 +108,9 @@ def train(
                     }
                 )
 
-    sample = rows.join(F.broadcast(chosen), ["id", "language"], "left_semi")
+    sample = rows.join(F.broadcast(cut), "language").where(F.xxhash64("id") <= F.col("cut")).dropDuplicates(["id", "language"])
     counted = (
-        sample.mapInArrow(count, "language STRING, gram BIGINT, times BIGINT")
+        sample.select("id", "text", "language").mapInArrow(count, "language STRING, gram BIGINT, times BIGINT")
         .groupBy("language", "gram")
         .agg(F.sum("times").alias("times"))
         .toArrow()
@@ -174,9 +179,11 @@ def _compiled(language: list[str], grams: np.ndarray, times: np.ndarray) -> PpmM
     return PpmModel(languages, symbols, number[rows], bits)
 
 
-def identify(docs: DataFrame, model: PpmModel, text_column: str = "text") -> DataFrame:
+def identify(docs: DataFrame, model: PpmModel, text_column: str = "text", with_length: bool = False) -> DataFrame:
     """Add lang_pred and score: the language with the shortest code length.
 
+    with_length: also add code_bits, that length, and code_bytes, the bytes coded.
+
     score is that language's posterior under equal priors. Texts that are null or
     have no letter, and all texts under a model without languages, are `und`
     with score 0. Ties go to the smaller language. Columns of docs named like the
@@ -184,7 +191,10 @@ def identify(docs: DataFrame, model: PpmModel, text_column: str = "text") -> Dat
     whole, by itself.
     """
     shared = docs.sparkSession.sparkContext.broadcast(tuple(model))  # plain: workers need no class
-    kept = [f for f in docs.schema.fields if f.name.lower() not in {"lang_pred", "score"}]
+    added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    if with_length:
+        added += [T.StructField("code_bits", T.DoubleType()), T.StructField("code_bytes", T.LongType())]
+    kept = [f for f in docs.schema.fields if f.name.lower() not in {a.name for a in added}]
     names = [f.name for f in kept]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,34 +208,78 @@ def identify(docs: DataFrame, model: PpmModel, text_column: str = "text") -> Dat
             for back in range(ORDER, 0, -1):
                 state = state * size + sym[ORDER - back : len(sym) - back]
             cell = rows[state].astype(np.int64) * size + sym[ORDER:]
-            labels, scores = [], []
+            labels, scores, spent, sizes = [], [], [], (ends - starts).tolist()
             for text, start, end in zip(raw, starts - ORDER, ends - ORDER):
                 if not languages or not _has_letter(text):
                     labels.append(UNKNOWN)
                     scores.append(0.0)
+                    spent.append(None)
                     continue
                 lengths = bits[cell[start:end]].sum(axis=0, dtype=np.float64)
                 best = int(lengths.argmin())
                 labels.append(languages[best])
+                spent.append(float(lengths[best]))
                 scores.append(float(1 / np.exp2(np.maximum(lengths[best] - lengths, -1000)).sum()))
             columns = [batch.column(n) for n in names] + [pa.array(labels, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "lang_pred", "score"])
+            if with_length:
+                columns += [pa.array(spent, pa.float64()), pa.array(sizes, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, *(f.name for f in added)])
 
-    added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     return docs.mapInArrow(score, T.StructType([*kept, *added]))
 
 
-def readable_documents(docs: DataFrame, least_score: float = 0.5, text_column: str = "text", **options) -> DataFrame:
+# How many times the usual code length a text may have, and bits on top for short ones.
+LOOSENESS = 2.0
+SLACK_BITS = 64.0
+_USUAL = 0.99
+
+
+def usual_lengths(judged: DataFrame, language_column: str = "lang") -> dict[str, float]:
+    """Per language the code length a byte that 99 of 100 of its labelled texts keep to.
+
+    judged: labelled rows that the model was not trained on, with their lengths;
+    all of them count. One number a language comes to the driver.
+    """
+    right = judged.where((F.col(language_column) == F.col("lang_pred")) & (F.col("code_bytes") > 0))
+    usual = F.percentile_approx(F.col("code_bits") / F.col("code_bytes"), _USUAL, 10_000)
+    return {r[0]: r[1] for r in right.groupBy("lang_pred").agg(usual).collect()}
+
+
+def readable_documents(
+    docs: DataFrame,
+    least_score: float = 0.5,
+    looseness: float = LOOSENESS,
+    slack_bits: float = SLACK_BITS,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    language_column: str = "lang",
+    **options,
+) -> DataFrame:
     """The documents whose language is recognised, with the columns they have.
 
-    Rejected are texts without a letter and those of which no learned language
-    has at least least_score. The model is trained on the labelled ones among
-    the documents; without any, only texts without a letter are rejected.
+    Rejected are texts without a letter, those of which no learned language has
+    at least least_score, and those whose code is longer than looseness times
+    what is usual for the predicted language, plus slack_bits: keyboard noise
+    and languages that were not learned. The model is trained on the labelled
+    ones among the documents but for a quarter, by crc32 of the id, which tells
+    what is usual. A language with no text in that quarter has no such bound;
+    without labelled documents only texts without a letter are rejected. Null
+    texts and languages are no labelled rows, repeated rows are judged alike.
     """
-    clash = {c: f"_kept_{c}" for c in docs.columns if c.lower() in {"lang_pred", "score"}}
-    model = train(docs, text_column=text_column, **options)
+    added = {"lang_pred", "score", "code_bits", "code_bytes"}
+    clash = {c: f"_kept_{c}" for c in docs.columns if c.lower() in added}
+    held_out = F.coalesce(F.crc32(F.col(id_column).cast("string")) % 4 == 2, F.lit(False))
+    model = train(docs.where(~held_out), id_column, text_column, language_column, **options)
     if not model.languages:
         return docs.where(F.col(text_column).rlike(r"\p{L}"))
-    judged = identify(docs.withColumnsRenamed(clash), model, text_column)
-    known = judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
+    narrow = docs.where(held_out & F.col(language_column).isin(model.languages)).select(
+        F.col(text_column).alias("text"), F.col(language_column).alias("lang")
+    )
+    usual = usual_lengths(identify(narrow, model, with_length=True))
+    most = [slack_bits + looseness * usual[name] * F.col("code_bytes") for name in model.languages if name in usual]
+    bound = F.lit(float("inf"))
+    for name, bits in zip([n for n in model.languages if n in usual], most):
+        bound = F.when(F.col("lang_pred") == name, bits).otherwise(bound)
+    judged = identify(docs.withColumnsRenamed(clash), model, text_column, with_length=True)
+    known = judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score) & (F.col("code_bits") <= bound))
     return known.select(*[F.col(f"`{clash.get(c, c)}`").alias(c) for c in docs.columns])

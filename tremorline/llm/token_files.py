@@ -20,13 +20,13 @@ from pyspark.sql import functions as F
 from tremorline.llm.common import saved, shuffle_partitions
 from tremorline.llm.simple8b import decode as unpack
 from tremorline.llm.simple8b import encode as pack
-from tremorline.llm.words import same_words, slices, split_words, utf8
+from tremorline.llm.words import marks, same_words, slices, split_words, utf8
 from tremorline.session import scratch_path
 
 END_ID = 1
 
-# Words whose ids a worker remembers: about 80 MB of arrays.
-_REMEMBERED = 2_000_000
+# Words whose ids a worker remembers: about 40 MB of arrays.
+_REMEMBERED = 600_000
 
 # A file is a run of groups, each a header and four arrays: the documents' ids,
 # which of them are null, their token counts, block offsets, packed words.
@@ -63,25 +63,31 @@ def _byte_letters() -> dict[int, int]:
     return {b: 256 + i for i, b in enumerate(others)}
 
 
-def _encoder_of_words(tokenizer_path: str) -> Callable[[list[str]], list[list[int]]]:
-    """A function from words, free of white space, to the ids of each.
-
-    Where the tokenizer lowers case and takes runs of letters whole, a Latin word
-    needs no more than the library's BPE model itself: lowered, in byte letters.
-    Everything else goes through the whole tokenizer.
-    """
+def _tokenizer(tokenizer_path: str):
+    """The tokenizer, and whether it takes runs of letters whole and drops white
+    space before anything else: then a text's ids are those of its words in turn."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    import re
-
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path)
     config = json.loads(tokenizer.to_str())
-    plain = (
+    by_words = (
         _parts(config["normalizer"], "normalizers") == _LOWER_CASE
         and _parts(config["pre_tokenizer"], "pretokenizers") == _WHOLE_WORDS
         and not any(t["content"].isalpha() for t in config["added_tokens"])
     )
+    return tokenizer, by_words
+
+
+def _encoder_of_words(tokenizer) -> Callable[[list[str]], list[list[int]]]:
+    """A function from words, free of white space, to the ids of each.
+
+    For tokenizers that lower case and take runs of letters whole: a Latin word
+    needs no more than the library's BPE model itself, lowered, in byte letters.
+    Everything else goes through the whole tokenizer.
+    """
+    import re
+
     latin, letters = re.compile(_LATIN_WORD), _byte_letters()
     stops = {m: tokenizer.encode(m, add_special_tokens=False).ids if m else [] for m in ("", ".", ",")}
 
@@ -89,8 +95,6 @@ def _encoder_of_words(tokenizer_path: str) -> Callable[[list[str]], list[list[in
         return [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)]
 
     def encode(words: list[str]) -> list[list[int]]:
-        if not plain:
-            return whole(words)
         remembered: dict[str, list[int]] = {}
         out: list = [None] * len(words)
         rest = []
@@ -113,41 +117,60 @@ def _encoder_of_words(tokenizer_path: str) -> Callable[[list[str]], list[list[in
     return encode
 
 
-def word_encoder(tokenizer_path: str) -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]:
+def text_encoder(tokenizer_path: str) -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]:
     """A function from texts to (all ids, ids of each text), special tokens not added.
 
-    For tokenizers that part texts at white space before anything else and drop
-    it, as the word-level ones do: then a text's ids are those of its words in
-    turn, and each different word is encoded once. Words are told apart by their
-    hash, length, first and last eight bytes.
+    Where the tokenizer works by words, each different word is encoded once. Words
+    are told apart by their hash, length, first and last eight bytes, those of
+    earlier batches too. Any other tokenizer encodes every text whole.
     """
-    encode_words = _encoder_of_words(tokenizer_path)
+    tokenizer, by_words = _tokenizer(tokenizer_path)
+    return _by_words(tokenizer) if by_words else _by_texts(tokenizer)
+
+
+def _flat(found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.fromiter(map(len, found), np.int64, count=len(found))
+    return np.fromiter(itertools.chain.from_iterable(found), np.uint32, count=int(sizes.sum())), sizes
+
+
+def _by_texts(tokenizer) -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]:
+    def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        return _flat([e.ids for e in tokenizer.encode_batch([t.decode("utf-8") for t in texts], add_special_tokens=False)])
+
+    return encode
+
+
+def _by_words(tokenizer) -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]:
+    encode_words = _encoder_of_words(tokenizer)
     known, places = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     starts, lengths, ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+    looks = np.zeros((0, 3), np.uint64)
 
     def one_by_one(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        found = [[i for w in encode_words([w.decode("utf-8") for w in t.split()]) for i in w] for t in texts]
-        return np.array([i for f in found for i in f], np.uint32), np.array([len(f) for f in found], np.int64)
+        return _flat([[i for w in encode_words([w.decode("utf-8") for w in t.split()]) for i in w] for t in texts])
 
     def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        nonlocal known, places, starts, lengths, ids
+        nonlocal known, places, starts, lengths, ids, looks
         words = split_words(texts)
         unique, first, inverse = np.unique(words.hashes, return_index=True, return_inverse=True)
         if not same_words(words, first[inverse]):
             return one_by_one(texts)
         if len(known) > _REMEMBERED:
-            known, places, starts, lengths, ids = known[:0], places[:0], starts[:0], lengths[:0], ids[:0]
+            known, places, starts, lengths, ids, looks = known[:0], places[:0], starts[:0], lengths[:0], ids[:0], looks[:0]
         at = np.minimum(np.searchsorted(known, unique), max(0, len(known) - 1))
-        new = np.flatnonzero(known[at] != unique) if len(known) else np.arange(len(unique))
+        seen = known[at] == unique if len(known) else np.zeros(len(unique), dtype=bool)
+        if not np.array_equal(looks[places[at[seen]]], marks(words, first[seen])):
+            return one_by_one(texts)
+        new = np.flatnonzero(~seen)
         if len(new):
             data = words.data
             spelt = [data[a:b].decode("utf-8") for a, b in zip(words.starts[first[new]], words.ends[first[new]])]
-            found = encode_words(spelt)
-            sizes = np.fromiter(map(len, found), np.int64, count=len(found))
+            found, sizes = _flat(encode_words(spelt))
             places = np.concatenate((places, len(lengths) + np.arange(len(new))))
             starts = np.concatenate((starts, len(ids) + np.cumsum(sizes) - sizes))
             lengths = np.concatenate((lengths, sizes))
-            ids = np.concatenate((ids, np.fromiter(itertools.chain.from_iterable(found), np.uint32, count=int(sizes.sum()))))
+            ids = np.concatenate((ids, found))
+            looks = np.concatenate((looks, marks(words, first[new])))
             known = np.concatenate((known, unique[new]))
             order = np.argsort(known)
             known, places = known[order], places[order]
@@ -166,12 +189,12 @@ _ENCODERS: dict[str, Callable] = {}
 
 
 def lasting_encoder(tokenizer_path: str) -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]:
-    """word_encoder, kept for later tasks of a worker on which this package is installed."""
+    """text_encoder, kept for later tasks of a worker on which this package is installed."""
     if importlib.util.find_spec("tremorline") is None:
-        return word_encoder(tokenizer_path)
+        return text_encoder(tokenizer_path)
     installed = importlib.import_module("tremorline.llm.token_files")
     if tokenizer_path not in installed._ENCODERS:
-        installed._ENCODERS[tokenizer_path] = installed.word_encoder(tokenizer_path)
+        installed._ENCODERS[tokenizer_path] = installed.text_encoder(tokenizer_path)
     return installed._ENCODERS[tokenizer_path]
 
 

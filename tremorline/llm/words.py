@@ -77,15 +77,20 @@ def split_words(texts: list[bytes]) -> Words:
     return Words(hashes, doc, starts, ends, data)
 
 
+def marks(words: Words, at: np.ndarray) -> np.ndarray:
+    """Length, first and last eight bytes of the words at `at`, one row a word."""
+    starts, ends = words.starts[at], words.ends[at]
+    size = ends - starts
+    eight = np.ndarray((len(words.data) - 7,), dtype="<u8", buffer=words.data, strides=(1,))
+    head = eight[starts] & _KEEP[np.minimum(size, 8)]
+    tail = np.where(size > 8, eight[np.maximum(ends - 8, 0)], 0)
+    return np.stack((size.astype(np.uint64), head, tail), axis=1) if len(at) else np.zeros((0, 3), np.uint64)
+
+
 def same_words(words: Words, other: np.ndarray) -> bool:
     """Whether every word equals the one at `other`: length, first and last bytes."""
-    size = words.ends - words.starts
-    if not np.array_equal(size, size[other]):
-        return False
-    eight = np.ndarray((len(words.data) - 7,), dtype="<u8", buffer=words.data, strides=(1,))
-    head = eight[words.starts] & _KEEP[np.minimum(size, 8)]
-    tail = np.where(size > 8, eight[np.maximum(words.ends - 8, 0)], 0)
-    return np.array_equal(head, head[other]) and np.array_equal(tail, tail[other])
+    own = marks(words, np.arange(len(words.starts)))
+    return np.array_equal(own, own[other])
 
 
 def windows(hashes: np.ndarray, width: int) -> np.ndarray:
