@@ -35,6 +35,12 @@ _COARSE_LONGS = 8
 _A_TO_Z = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
+def _growing(side: DataFrame) -> DataFrame:
+    """A side of a join that grows with the input: joined by a shuffle at any size,
+    so that small inputs run, and show, the plan of large ones."""
+    return side.hint("merge")
+
+
 def _sets(batch: pa.RecordBatch, text_column: str, width: int) -> Iterator[np.ndarray]:
     """The sorted different shingles of each text."""
     texts = [t.translate(_A_TO_Z) for t in utf8(batch.column(text_column))]
@@ -157,7 +163,7 @@ def _linked(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
                 links.append(100 * common >= percent * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(links, pa.bool_()))
 
-    return pairs.join(right, "b").join(left, "a").mapInArrow(probe, "a BIGINT, b BIGINT")
+    return pairs.join(_growing(right), "b").join(_growing(left), "a").mapInArrow(probe, "a BIGINT, b BIGINT")
 
 
 def jaccard_components(
@@ -216,7 +222,7 @@ def jaccard_components(
     # The more of its short lists a document shares, the more typical it is.
     shares = shared.groupBy("id").agg(F.count("*").alias("shares"))
     about = saved(
-        shares.join(
+        _growing(shares).join(
             found.select("doc_id", "n", "outline", (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).alias("short")),
             F.col("id") == F.col("doc_id"),
         ).select("id", "n", "outline", (F.col("shares") / F.col("short")).alias("typical")),
@@ -236,15 +242,15 @@ def jaccard_components(
     def near(pairs: DataFrame) -> DataFrame:
         one, other = about.alias("one"), about.alias("other")
         return (
-            pairs.join(one, F.col("a") == F.col("one.id"))
-            .join(other, F.col("b") == F.col("other.id"))
+            pairs.join(_growing(one), F.col("a") == F.col("one.id"))
+            .join(_growing(other), F.col("b") == F.col("other.id"))
             .where(f"{sizes} AND {apart} {bound}")
             .select("a", "b")
         )
 
     by_typical = Window.partitionBy("list").orderBy(F.col("typical").desc(), "id")
     stars = (
-        shared.join(about.select("id", "typical"), "id")
+        shared.join(_growing(about.select("id", "typical")), "id")
         .select(F.first("id").over(by_typical).alias("a"), F.col("id").alias("b"))
         .where("a <> b")
         .distinct()
@@ -256,21 +262,21 @@ def jaccard_components(
         f"aggregate(filter(outline, (x, k) -> k % {_COARSE_LONGS} = {i}), 0L, (s, x) -> s ^ x)"
         for i in range(_COARSE_LONGS)
     ]
-    joined = about.join(first, "id", "left").select(
+    joined = about.join(_growing(first), "id", "left").select(
         "id",
         "n",
         F.expr(f"array({', '.join(folded)})").alias("coarse"),
         F.coalesce("component", "id").alias("component"),
     )
-    placed = shared.join(joined.select("id", "component"), "id")
+    placed = shared.join(_growing(joined.select("id", "component")), "id")
     mixed = placed.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     open_lists = saved(
-        shared.join(mixed.select("list"), "list").join(joined, "id").select("list", "id", "n", "coarse", "component"),
+        shared.join(_growing(mixed.select("list")), "list").join(_growing(joined), "id").select("list", "id", "n", "coarse", "component"),
         "open-lists",
     )
     across = (
         open_lists.alias("one")
-        .join(open_lists.alias("other"), (F.col("one.list") == F.col("other.list")) & (F.col("one.component") < F.col("other.component")) & F.expr(f"{sizes} AND ({coarse}) {bound}"))
+        .join(_growing(open_lists.alias("other")), (F.col("one.list") == F.col("other.list")) & (F.col("one.component") < F.col("other.component")) & F.expr(f"{sizes} AND ({coarse}) {bound}"))
         .select(F.col("one.id").alias("a"), F.col("other.id").alias("b"))
         .distinct()
     )
@@ -279,10 +285,10 @@ def jaccard_components(
         first.select(F.col("id").alias("a"), F.col("component").alias("b")).where("a <> b").union(second.select("a", "b"))
     )
 
-    groups = unique.select("digest", "id").join(whole, "id", "left").select(
+    groups = unique.select("digest", "id").join(_growing(whole), "id", "left").select(
         F.col("digest").alias("set_digest"), F.coalesce("component", "id").alias("component")
     )
-    return found.join(groups, (F.col("digest") == F.col("set_digest")) & ~alone, "left").select(
+    return found.join(_growing(groups), (F.col("digest") == F.col("set_digest")) & ~alone, "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.coalesce("component", "doc_id").alias("component_id"),
