@@ -132,7 +132,7 @@ def test_languages_beyond_the_bounds_are_not_learned(spark):
 def test_scores(docs):
     model = suffix_tree_lm.train(docs)
     full = _by_id(suffix_tree_lm.score(docs, model), "n_tokens", "n_known", "base_score")
-    joined = _by_id(suffix_tree_lm.score(docs, model, head_words=1), "n_tokens", "n_known", "base_score")
+    joined = _by_id(suffix_tree_lm.score(docs, model, head_words=1, head_pairs=3), "n_tokens", "n_known", "base_score")
     assert [r[:3] for r in full] == [r[:3] for r in joined]
     assert [r[3] for r in full] == pytest.approx([r[3] for r in joined])
     assert {r[0]: r[1] for r in full}[4] == 1
@@ -140,6 +140,115 @@ def test_scores(docs):
     assert all(r.n_known == 0 and abs(r.base_score) < 1e-6 for r in empty)
 
 
+def _plain_tree(texts):
+    """The model's log10 probability of texts, by dictionaries."""
+    import collections
+    import math
+
+    lm = suffix_tree_lm
+    words = [t.encode().translate(lm._A_TO_Z).split() for t in texts]
+    counts = collections.Counter(w for t in words for w in [*t, None])
+    total = sum(counts.values())
+    own = {w for w, n in counts.items() if n >= max(1.0, total * lm._OWN_SYMBOL)}
+
+    def tokens(text):
+        """(word, symbol, the bytes before it, last first) of a text."""
+        raw = b"\n" + b" ".join(text) + b"\n"
+        out, at = [], 1
+        for word in [*text, None]:
+            before = raw[:at] if word is None else raw[: at - 1] if at > 1 else raw[:1]
+            if word is None:
+                before = raw[:-1]
+            back = b""
+            for byte in reversed(before[-lm.DEPTH :]):
+                back += bytes([byte])
+                if byte == 10:
+                    break
+            end = raw[:-1] if word is None else word
+            tail = (b"\n" + (end if word is not None else b"\n" + b" ".join(text)))[-2:]
+            if word is not None and len(word) == 1:
+                tail = raw[at - 1 : at + 1]
+            out.append((word, word if word in own else ("ending", tail), back.ljust(lm.DEPTH, b"\0")))
+            at += len(word) + 1 if word is not None else 0
+        return out
+
+    def ending(tail):
+        number = np.array([tail[1] | tail[0] << 8], np.uint64)
+        return int(lm.mixed(number)[0] % np.uint64(lm._ENDINGS))
+
+    def name(symbol):
+        return ("ending", ending(symbol[1])) if isinstance(symbol, tuple) else symbol
+
+    seen = [[(w, name(s), c) for w, s, c in tokens(t)] for t in words]
+    flat = [x for t in seen for x in t]
+    symbols = len(own) + lm._ENDINGS
+    root = collections.Counter(s for _, s, _ in flat)
+    mass = total + 0.5 * symbols
+    by_ending = collections.defaultdict(lambda: 0.5)
+    for w in counts:
+        if w not in own:
+            by_ending[next(s for v, s, _ in flat if v == w)] += counts[w] + 0.5
+    pairs = [collections.defaultdict(collections.Counter) for _ in range(lm.DEPTH + 1)]
+    for _, s, c in flat:
+        for d in range(1, lm.DEPTH + 1):
+            pairs[d][c[:d]][s] += 1
+    kept = {}
+
+    def probability(s, context, depth):
+        if depth == 0:
+            return (root[s] + 0.5) / mass
+        short = probability(s, context, depth - 1)
+        if context[:depth] not in kept:
+            return short
+        times, weight, bottom = kept[context[:depth]]
+        return (times.get(s, 0) + weight * short) / bottom
+
+    for d in range(1, lm.DEPTH + 1):
+        new = {}
+        for c, times in pairs[d].items():
+            often = {s: n for s, n in times.items() if n >= lm._LEAST_PAIR}
+            all_, prior = sum(times.values()), max(lm._PRIOR, len(often))
+            weight = all_ - sum(often.values()) + prior
+            gain = sum(n * math.log2((n + weight * (p := probability(s, c, d - 1))) / (all_ + prior) / p) for s, n in often.items())
+            gain += (all_ - sum(often.values())) * math.log2(weight / (all_ + prior))
+            if gain >= lm.LEAST_GAIN_BITS:
+                new[c] = (often, weight, all_ + prior)
+        kept |= new
+    everything = set(root) | {("ending", e) for e in range(lm._ENDINGS)} | own
+    sums = [sum(probability(s, c.ljust(lm.DEPTH, b"\0"), len(c)) for s in everything) for c in kept]
+
+    def score(text):
+        out = 0.0
+        for w, s, c in [(w, name(s), c) for w, s, c in tokens(text.encode().translate(lm._A_TO_Z).split())]:
+            p = probability(s, c, lm.DEPTH)
+            out += math.log10(p if w in own else p * (counts.get(w, 0) + 0.5) / by_ending[s])
+        return out
+
+    return score, kept, sums
+
+
+def test_scores_equal_a_plain_tree(spark):
+    documents = [(r.doc_id, r.text or "") for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    some = spark.createDataFrame([(i, t) for i, t in documents if i % 3], "doc_id BIGINT, text STRING")
+    score, kept, sums = _plain_tree([t for i, t in documents if i % 3])
+    model = suffix_tree_lm.train(some)
+    assert len(kept) == sum(map(len, model.states)) > 20
+    assert sums == pytest.approx([1.0] * len(sums))
+    docs = spark.createDataFrame(documents[:60], "doc_id BIGINT, text STRING")
+    wanted = {i: score(t) for i, t in documents[:60]}
+    for head in (suffix_tree_lm.HEAD_PAIRS, 500, 0):
+        got = {r.doc_id: r.score for r in suffix_tree_lm.score(docs, model, head_pairs=head).collect()}
+        assert got == pytest.approx(wanted, rel=1e-5)
+
+
+def test_what_is_kept_grows_with_the_corpus(spark):
+    sizes = []
+    for sf in ("0.001", "0.01"):
+        model = suffix_tree_lm.train(spark.read.parquet(f"/root/testdata/sf{sf}/documents.parquet"))
+        sizes.append((sum(map(len, model.states)), model.pairs.count()))
+    assert sizes[1][0] > 1.5 * sizes[0][0] and sizes[1][1] > 2 * sizes[0][1]
+
+
 def test_lines(spark):
     base = " ".join(f"{w}{k}" for k in range(4) for w in WORDS)
     near = base.replace("karax0", "karay0")
