@@ -56,6 +56,18 @@ def _list_array(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
 
 
+def _packed_counts(counts: np.ndarray) -> bytes:
+    """A block of counters, most of them small: item size, then compressed items."""
+    kind = next(k for k in ("<u1", "<u2", "<i8") if counts.max() <= np.iinfo(k).max)
+    return bytes([np.dtype(kind).itemsize]) + pa.Codec("zstd").compress(counts.astype(kind).tobytes(), asbytes=True)
+
+
+def _unpacked_counts(data: bytes) -> np.ndarray:
+    kind = {1: "<u1", 2: "<u2", 8: "<i8"}[data[0]]
+    items = pa.Codec("zstd").decompress(data[1:], _BLOCK * np.dtype(kind).itemsize, asbytes=True)
+    return np.frombuffer(items, kind)
+
+
 def _list_lengths(texts: DataFrame, width: int) -> np.ndarray:
     """Counters of how many documents hold a shingle, at the shingle's top bits.
 
@@ -70,15 +82,14 @@ def _list_lengths(texts: DataFrame, width: int) -> np.ndarray:
             np.add.at(counts, (found >> np.uint64(64 - _LENGTH_BITS)).astype(np.int64), 1)
         if counts.any():
             blocks = counts.reshape(-1, _BLOCK)
-            kind = next(k for k in ("<u1", "<u2", "<i8") if blocks.max() <= np.iinfo(k).max)
-            data = [b.astype(kind).tobytes() for b in blocks]
+            data = [_packed_counts(b) for b in blocks]
             yield pa.RecordBatch.from_pydict({"block": pa.array(range(len(blocks)), pa.int32()), "counts": data})
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                values = np.frombuffer(data, {1: "<u1", 2: "<u2", 8: "<i8"}[len(data) // _BLOCK])
+                values = _unpacked_counts(data)
                 sums[block] = sums[block] + values if block in sums else values.astype(np.int64)
         if sums:
             yield pa.RecordBatch.from_pydict(
@@ -207,7 +218,9 @@ def jaccard_components(
     )
     # Sets without a copy stay where they are; of the others one row is picked.
     copied = marked(found.where(~alone), unique.where("copies > 1"), "digest", "copied")
-    picked = copied.where("copied").join(unique.select("id"), F.col("doc_id") == F.col("id"), "left_semi")
+    # No semi-join: Spark moves one below the marks, where it would shuffle all sets.
+    firsts = unique.select(F.col("id").alias("first_id"))
+    picked = copied.where("copied").join(firsts, F.col("doc_id") == F.col("first_id")).drop("first_id")
     lists = copied.where("NOT copied").unionByName(picked).select(F.col("doc_id").alias("id"), F.col("n").cast("int").alias("n"), "lists")
     # A document whose neighbours by size in a list are too small and too large
     # for a link has none in this list.
