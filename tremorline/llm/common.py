@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,11 +30,30 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
-def forget(table: DataFrame) -> None:
-    """Delete the files of a saved table that nothing will read again."""
-    spark = table.sparkSession
+# Bounds of what goes to a Python worker at once; texts vary in length a lot.
+_BATCH_ROWS, _BATCH_BYTES = 2000, 8 << 20
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """The same rows; Arrow batches of the session become no larger than the bounds.
+
+    With the defaults, 10,000 rows or 64 MB, a task holds several such batches on
+    either side of the pipe, which counts where executors are small.
+    """
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > _BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(_BATCH_ROWS))
+    size = conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    if int(re.sub(r"\D", "", size)) > _BATCH_BYTES or not size.rstrip("b").isdigit():
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{_BATCH_BYTES}b")
+    return df
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete the files behind saved tables that nothing will read again."""
+    spark = tables[0].sparkSession
     hadoop = spark._jvm.org.apache.hadoop.fs
-    for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+    for folder in {file.rsplit("/", 1)[0] for table in tables for file in table.inputFiles()}:
         path = hadoop.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 

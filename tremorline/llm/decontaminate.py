@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tremorline.llm.common import saved
+from tremorline.llm.common import forget, in_small_batches, saved
 from tremorline.llm.words import SLICE_BYTES, Words, slices, split_words, windows
 
 SEED_WORDS = 3
@@ -107,10 +107,10 @@ def contaminated_passages(
     Documents without such a passage have no row. Null texts are empty; rows that
     repeat an id count as one document; a null id is reported as null. Items with
     fewer words than a seed, or without id or text, match nothing. Empty tables
-    give no rows.
+    give no rows. The result is written to the scratch folder.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+    texts = in_small_batches(docs).select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     listed = benchmark.select(
         F.col(item_column).alias("item_id"), F.col(item_text_column).cast("string").alias("text")
     ).dropna()
@@ -219,13 +219,16 @@ def contaminated_passages(
             )
 
     item_type = items.schema["item_id"].dataType.simpleString()
-    return (
+    found = (
         pairs.mapInArrow(align, f"doc_id {id_type}, item_id {item_type}, score DOUBLE, end_word BIGINT")
         .where(F.col("score") >= least_score)
         .groupBy("doc_id", "item_id")
         .agg(F.max(F.struct("score", (-F.col("end_word")).alias("back"))).alias("best"))
         .select("doc_id", "item_id", F.col("best.score").alias("score"), (-F.col("best.back")).alias("end_word"))
     )
+    result = saved(found, "contaminated")
+    forget(items, counted, seeds, cut)
+    return result
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:

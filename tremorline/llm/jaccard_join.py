@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tremorline.llm.common import marked, rows_of_ids, saved
+from tremorline.llm.common import forget, in_small_batches, marked, rows_of_ids, saved
 from tremorline.llm.components import components
 from tremorline.llm.words import shingles, slices, split_words, utf8
 
@@ -157,7 +157,7 @@ def _sets_of(texts: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) that link, by probing whole sets."""
+    """Those of the saved pairs (a, b) that link, by probing whole sets."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
     sets = _sets_of(texts, ids, width)
     left = sets.select(F.col("id").alias("a"), F.col("members").alias("members_a"))
@@ -174,7 +174,10 @@ def _linked(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
                 links.append(100 * common >= percent * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(links, pa.bool_()))
 
-    return pairs.join(_growing(right), "b").join(_growing(left), "a").mapInArrow(probe, "a BIGINT, b BIGINT")
+    both = pairs.join(_growing(right), "b").join(_growing(left), "a")
+    links = saved(both.mapInArrow(probe, "a BIGINT, b BIGINT"), "links")
+    forget(sets, pairs)
+    return links
 
 
 def jaccard_components(
@@ -206,8 +209,9 @@ def jaccard_components(
     doc_id reachable). Empty and null texts have 0 shingles and link with
     nothing; rows without an id link with nothing and have a null component;
     rows that repeat an id are taken for one document. An empty table gives none.
+    The result is written to the scratch folder, and what led to it removed.
     """
-    texts = docs.select(
+    texts = in_small_batches(docs).select(
         F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).cast("string").alias("text")
     )
     lengths = _list_lengths(texts, width)
@@ -301,11 +305,14 @@ def jaccard_components(
     groups = unique.select("digest", "id").join(_growing(whole), "id", "left").select(
         F.col("digest").alias("set_digest"), F.coalesce("component", "id").alias("component")
     )
-    return found.join(_growing(groups), (F.col("digest") == F.col("set_digest")) & ~alone, "left").select(
+    named = found.join(_growing(groups), (F.col("digest") == F.col("set_digest")) & ~alone, "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.coalesce("component", "doc_id").alias("component_id"),
     )
+    result = saved(named, "components")
+    forget(found, unique, shared, about, first, open_lists, second, whole)
+    return result
 
 
 def one_of_each_group(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:

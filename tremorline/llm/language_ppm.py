@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tremorline.llm.common import in_small_batches
 from tremorline.llm.words import slices
 
 # Training texts per language, chosen by hash, and languages, those with the most
@@ -76,7 +77,7 @@ def train(
     Spark; the driver receives the different n-grams of the sample, so what it
     holds is bounded by the sample.
     """
-    rows = labelled.select(
+    rows = in_small_batches(labelled).select(
         F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(language_column).alias("language")
     ).dropna()
     sizes = rows.groupBy("language").count().orderBy(F.desc("count"), "language").limit(most_languages).collect()
@@ -225,7 +226,7 @@ def identify(docs: DataFrame, model: PpmModel, text_column: str = "text", with_l
                 columns += [pa.array(spent, pa.float64()), pa.array(sizes, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, *(f.name for f in added)])
 
-    return docs.mapInArrow(score, T.StructType([*kept, *added]))
+    return in_small_batches(docs).mapInArrow(score, T.StructType([*kept, *added]))
 
 
 # How many times the usual code length a text may have, and bits on top for short ones.

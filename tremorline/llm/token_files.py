@@ -17,7 +17,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tremorline.llm.common import saved, shuffle_partitions
+from tremorline.llm.common import in_small_batches, saved, shuffle_partitions
 from tremorline.llm.simple8b import decode as unpack
 from tremorline.llm.simple8b import encode as pack
 from tremorline.llm.words import marks, same_words, slices, split_words, utf8
@@ -215,7 +215,7 @@ def write_token_files(
     the files that count are those of the returned manifest, which is itself
     written to the scratch folder: file, place, documents, ids.
     """
-    rows = docs.select(
+    rows = in_small_batches(docs).select(
         F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).cast("string").alias("text")
     )
 
