@@ -94,3 +94,20 @@ def marked(rows: DataFrame, ids: DataFrame, column: str, mark: str = "_marked")
 def rows_of_ids(rows: DataFrame, ids: DataFrame, column: str = "id") -> DataFrame:
     """The rows whose id is among ids, and perhaps a few more; no shuffle of rows."""
     return marked(rows, ids, column).where("_marked").drop("_marked")
+
+
+def without(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """The rows whose id is not among ids (one column); rows without an id stay.
+
+    Most rows stay where they are: only those that the filter marks meet the ids.
+    """
+    gone = ids.select(F.col(ids.columns[0]).cast(rows.schema[column].dataType).alias(column)).distinct()
+    split = marked(rows, gone, column, "_maybe_gone")
+    columns = [F.col(f"`{c}`") for c in rows.columns]
+    # No anti-join: Spark moves one below the marks, where it would shuffle all rows.
+    doubted = (
+        split.where("_maybe_gone")
+        .join(gone.select(F.col(column).alias("_gone")), F.col(column) == F.col("_gone"), "left")
+        .where("_gone IS NULL")
+    )
+    return split.where("NOT _maybe_gone").select(*columns).unionByName(doubted.select(*columns))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tremorline.llm.common import forget, in_small_batches, saved
+from tremorline.llm.common import forget, in_small_batches, saved, without
 from tremorline.llm.words import SLICE_BYTES, Words, slices, split_words, windows
 
 SEED_WORDS = 3
@@ -233,6 +233,4 @@ def contaminated_passages(
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
     """The documents without a contaminated passage; rows without an id stay."""
-    found = contaminated_passages(docs, benchmark, id_column, **options)
-    bad = found.select(F.col("doc_id").alias("_contaminated")).distinct()
-    return docs.join(bad, F.col(id_column) == F.col("_contaminated"), "left_anti")
+    return without(docs, contaminated_passages(docs, benchmark, id_column, **options).select("doc_id"), id_column)

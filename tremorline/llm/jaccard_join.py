@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tremorline.llm.common import forget, in_small_batches, marked, rows_of_ids, saved
+from tremorline.llm.common import forget, in_small_batches, marked, rows_of_ids, saved, without
 from tremorline.llm.components import components
 from tremorline.llm.words import shingles, slices, split_words, utf8
 
@@ -316,7 +316,12 @@ def jaccard_components(
 
 
 def one_of_each_group(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
-    """The documents whose id names their group; rows without an id stay."""
+    """The documents whose id names their group, one row each; rows without an id
+    stay. Of rows that repeat an id one stays, any."""
     named = jaccard_components(docs, id_column, **options)
-    dropped = named.where("doc_id <> component_id").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, F.col(id_column) == F.col("_dropped"), "left_anti")
+    left = without(docs, named.where("doc_id <> component_id").select("doc_id"), id_column)
+    repeated = docs.groupBy(id_column).count().where("count > 1").select(id_column)
+    split = marked(left, repeated, id_column, "_repeated")
+    once = split.where(F.col("_repeated") & F.col(id_column).isNotNull()).dropDuplicates([id_column])
+    others = split.where(~F.col("_repeated") | F.col(id_column).isNull())
+    return others.unionByName(once).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -68,9 +68,9 @@ def mix(
 
     Every document gets a hash-random key. Keys are uniform, so equal ranges of
     them hold equal shares: each source is cut into about sqrt(rows) ranges,
-    rows are range-partitioned and sorted by (source, range), the sums of ranges
-    give each range its offset in its source, and a running sum inside the range
-    does the rest. A source with a third of all rows is many ranges. The source's
+    rows are partitioned by (source, range) and each range sorted, the sums of
+    ranges give each range its offset in its source, and a running sum inside the
+    range does the rest. A source with a third of all rows is many ranges. The source's
     budget, its target rounded down, is cut at the exact word: whole epochs
     first, then documents in order of their keys, the last one in part.
 
@@ -92,6 +92,8 @@ def mix(
     bits = F.conv(F.substring("_key", 1, 8), 16, 10).cast("bigint")
     bucket = F.shiftright(bits * ranges, 32)
 
+    # Null is a source of its own.
+    source_key = F.coalesce(F.concat(F.lit("="), F.col("_source").cast("string")), F.lit(""))
     totals = sizes.groupBy(F.col("_source").alias("source")).agg(F.sum("_size").alias("source_size"))
     targets = source_targets(totals, weights, most_epochs)
     sums = sizes.groupBy(F.col("_source").alias("source"), bucket.alias("bucket")).agg(
@@ -99,30 +101,28 @@ def mix(
     )
     earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
-        F.col("source").alias("_source_of_range"),
+        F.col("source").alias("_source"),
         F.col("bucket").alias("_range"),
         F.coalesce(F.sum("range_size").over(earlier), F.lit(0)).alias("_offset"),
-    )
+    ).select(source_key.alias("_source_of_range"), "_range", "_offset")
+    of_source = targets.select(
+        F.col("source").alias("_source"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target")
+    ).select(source_key.alias("_target_of"), "_source_size", "_target")
+    offsets = offsets.join(of_source, F.col("_source_of_range") == F.col("_target_of"))
     inside = (
-        Window.partitionBy("_source", "_bucket")
+        Window.partitionBy("_source_key", "_bucket")
         .orderBy("_key", "_id", "_size")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    # A range goes to one task whole, and there meets its offset: rows move once.
     running = (
-        rows.withColumn("_bucket", bucket)
-        .repartitionByRange(shuffle_partitions(spark), "_source", "_bucket")
+        rows.withColumns({"_bucket": bucket, "_source_key": source_key})
+        .repartition(shuffle_partitions(spark), "_source_key", "_bucket")
         .withColumn("_inside", F.coalesce(F.sum("_size").over(inside), F.lit(0)))
     )
     placed = running.join(
         offsets,
-        F.col("_source").eqNullSafe(F.col("_source_of_range")) & (F.col("_bucket") == F.col("_range")),
-    ).join(
-        targets.select(
-            F.col("source").alias("_target_of"),
-            F.col("source_size").alias("_source_size"),
-            F.col("target").alias("_target"),
-        ),
-        F.col("_source").eqNullSafe(F.col("_target_of")),
+        (F.col("_source_key") == F.col("_source_of_range")) & (F.col("_bucket") == F.col("_range")),
     )
     # Without words in a source there is nothing to take.
     base = F.greatest(F.col("_source_size"), F.lit(1))
