@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tremorline.llm.common import forget, in_small_batches, saved, without
-from tremorline.llm.words import SLICE_BYTES, Words, slices, split_words, windows
+from tremorline.llm.words import Words, slices, split_words, windows
 
 SEED_WORDS = 3
 
@@ -135,7 +135,7 @@ def contaminated_passages(
     possible = spark.sparkContext.broadcast(_filter(grams))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 4 * SLICE_BYTES):
+        for batch in slices(batches, "text"):
             runs, _ = _grams(_words(batch.column("text")), seed_words)
             hit = runs[possible.value[(runs >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)]]
             found, times = np.unique(hit, return_counts=True)

@@ -58,12 +58,12 @@ def _list_array(arrays: list[np.ndarray]) -> pa.ListArray:
 
 def _packed_counts(counts: np.ndarray) -> bytes:
     """A block of counters, most of them small: item size, then compressed items."""
-    kind = next(k for k in ("<u1", "<u2", "<i8") if counts.max() <= np.iinfo(k).max)
+    kind = next(k for k in ("<u1", "<u2", "<i4") if counts.max() <= np.iinfo(k).max)
     return bytes([np.dtype(kind).itemsize]) + pa.Codec("zstd").compress(counts.astype(kind).tobytes(), asbytes=True)
 
 
 def _unpacked_counts(data: bytes) -> np.ndarray:
-    kind = {1: "<u1", 2: "<u2", 8: "<i8"}[data[0]]
+    kind = {1: "<u1", 2: "<u2", 4: "<i4"}[data[0]]
     items = pa.Codec("zstd").decompress(data[1:], _BLOCK * np.dtype(kind).itemsize, asbytes=True)
     return np.frombuffer(items, kind)
 
@@ -76,7 +76,7 @@ def _list_lengths(texts: DataFrame, width: int) -> np.ndarray:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << _LENGTH_BITS, dtype=np.int64)
+        counts = np.zeros(1 << _LENGTH_BITS, dtype=np.int32)
         for batch in slices(batches, "text"):
             found = np.concatenate([*_sets(batch, "text", width), np.zeros(0, np.uint64)])
             np.add.at(counts, (found >> np.uint64(64 - _LENGTH_BITS)).astype(np.int64), 1)

@@ -223,7 +223,6 @@ def write_token_files(
         name, sink, first, documents, total = f"{uuid.uuid4().hex}.s8b", None, None, 0, 0
         for batch in slices(batches, "text"):
             if sink is None:
-                pa.default_memory_pool().release_unused()  # what earlier stages left to this worker
                 encode = lasting_encoder(tokenizer_path)
                 store, path = store_of(folder)
                 store.create_dir(path, recursive=True)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -11,7 +13,7 @@ import pyarrow.compute as pc
 import xxhash
 
 # Bytes of text worked on at once; a longer text is worked on by itself.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -35,8 +37,16 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def give_back() -> None:
+    """Return memory that earlier work freed, but that this worker still holds, to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in pieces of bounded text."""
+    give_back()
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -45,6 +55,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
         cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
         for start, end in zip(cuts, cuts[1:]):
             yield batch.slice(start, end - start)
+    give_back()
 
 
 def utf8(column: pa.Array) -> list[bytes]:
