@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from tremorline.functions.place import DISTANCE_PLACE, PLAIN_PLACE, UNKNOWN
 from tremorline.plans.feed import DOCUMENT_FEATURES
 from tremorline.plans.queries import (
     AGAIN_MONTH,
@@ -16,6 +15,11 @@ from tremorline.plans.queries import (
     LOOKUP_YEAR,
 )
 
+# The two place patterns, city before state, and what else is said.
+DISTANCE_PLACE = r"^.* of (.*)\s*,\s*(.*)\s*$"
+PLAIN_PLACE = r"^\s*(.*)\s*,\s*(.*)\s*$"
+UNKNOWN = "Unknown"
+
 
 def _parsed(group: int) -> str:
     return f"""
