@@ -20,13 +20,13 @@ from pyspark.sql import functions as F
 from tremorline.llm.common import in_small_batches, saved, shuffle_partitions
 from tremorline.llm.simple8b import decode as unpack
 from tremorline.llm.simple8b import encode as pack
-from tremorline.llm.words import marks, same_words, slices, split_words, utf8
+from tremorline.llm.words import SLICE_BYTES, marks, same_words, slices, split_words, utf8
 from tremorline.session import scratch_path
 
 END_ID = 1
 
-# Words whose ids a worker remembers: about 40 MB of arrays.
-_REMEMBERED = 600_000
+# Words whose ids a worker remembers: about 130 MB of arrays.
+_REMEMBERED = 2_000_000
 
 # A file is a run of groups, each a header and four arrays: the documents' ids,
 # which of them are null, their token counts, block offsets, packed words.
@@ -221,7 +221,8 @@ def write_token_files(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, sink, first, documents, total = f"{uuid.uuid4().hex}.s8b", None, None, 0, 0
-        for batch in slices(batches, "text"):
+        # Each slice's new words are sorted in among the remembered ones: rather fewer slices.
+        for batch in slices(batches, "text", 2 * SLICE_BYTES):
             if sink is None:
                 encode = lasting_encoder(tokenizer_path)
                 store, path = store_of(folder)
