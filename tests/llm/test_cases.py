@@ -241,6 +241,15 @@ def test_scores_equal_a_plain_tree(spark):
         assert got == pytest.approx(wanted, rel=1e-5)
 
 
+def test_words_are_told_by_five_bytes_before_them(spark):
+    rows = [(i, " ".join(["kabcd one", "zabcd two"] * 20)) for i in range(20)]
+    model = suffix_tree_lm.train(spark.createDataFrame(rows, "doc_id BIGINT, text STRING"))
+    asked = spark.createDataFrame([(1, "zabcd two"), (2, "zabcd one")], "doc_id BIGINT, text STRING")
+    for head in (suffix_tree_lm.HEAD_PAIRS, 0):
+        got = {r.doc_id: r.score for r in suffix_tree_lm.score(asked, model, head_pairs=head).collect()}
+        assert got[1] > got[2] + 1
+
+
 def test_what_is_kept_grows_with_the_corpus(spark):
     sizes = []
     for sf in ("0.001", "0.01"):
