@@ -11,6 +11,10 @@ from tremorline.llm.language_ppm import readable_documents
 from tremorline.llm.mixing import mixed_documents
 from tremorline.llm.queries import tokenizer_path
 from tremorline.llm.token_files import token_index
+from tremorline.llm.words import SLICE_BYTES
+
+# Words that a token file's writer remembers here: executors still hold what the stages before left.
+_REMEMBERED = 1 << 18
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +39,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Write token files and return their index as read back, one row per document written."""
-    return token_index(docs, tokenizer_path())
+    return token_index(docs, tokenizer_path(), slice_bytes=SLICE_BYTES, remembered=_REMEMBERED)
 
 
 STAGES = [

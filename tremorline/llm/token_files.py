@@ -117,15 +117,16 @@ def _encoder_of_words(tokenizer) -> Callable[[list[str]], list[list[int]]]:
     return encode
 
 
-def text_encoder(tokenizer_path: str) -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]:
+def text_encoder(tokenizer_path: str, remembered: int = _REMEMBERED) -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]:
     """A function from texts to (all ids, ids of each text), special tokens not added.
 
     Where the tokenizer works by words, each different word is encoded once. Words
     are told apart by their hash, length, first and last eight bytes, those of
-    earlier batches too. Any other tokenizer encodes every text whole.
+    earlier batches too, about as many as are remembered. Any other tokenizer
+    encodes every text whole.
     """
     tokenizer, by_words = _tokenizer(tokenizer_path)
-    return _by_words(tokenizer) if by_words else _by_texts(tokenizer)
+    return _by_words(tokenizer, remembered) if by_words else _by_texts(tokenizer)
 
 
 def _flat(found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -140,7 +141,7 @@ def _by_texts(tokenizer) -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray
     return encode
 
 
-def _by_words(tokenizer) -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]:
+def _by_words(tokenizer, remembered: int) -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]:
     encode_words = _encoder_of_words(tokenizer)
     known, places = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     starts, lengths, ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
@@ -155,7 +156,7 @@ def _by_words(tokenizer) -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray
         unique, first, inverse = np.unique(words.hashes, return_index=True, return_inverse=True)
         if not same_words(words, first[inverse]):
             return one_by_one(texts)
-        if len(known) > _REMEMBERED:
+        if len(known) > remembered:
             known, places, starts, lengths, ids, looks = known[:0], places[:0], starts[:0], lengths[:0], ids[:0], looks[:0]
         at = np.minimum(np.searchsorted(known, unique), max(0, len(known) - 1))
         seen = known[at] == unique if len(known) else np.zeros(len(unique), dtype=bool)
@@ -185,17 +186,17 @@ def _by_words(tokenizer) -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray
     return encode
 
 
-_ENCODERS: dict[str, Callable] = {}
+_ENCODERS: dict[tuple[str, int], Callable] = {}
 
 
-def lasting_encoder(tokenizer_path: str) -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]:
+def lasting_encoder(tokenizer_path: str, remembered: int = _REMEMBERED) -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]:
     """text_encoder, kept for later tasks of a worker on which this package is installed."""
     if importlib.util.find_spec("tremorline") is None:
-        return text_encoder(tokenizer_path)
+        return text_encoder(tokenizer_path, remembered)
     installed = importlib.import_module("tremorline.llm.token_files")
-    if tokenizer_path not in installed._ENCODERS:
-        installed._ENCODERS[tokenizer_path] = installed.text_encoder(tokenizer_path)
-    return installed._ENCODERS[tokenizer_path]
+    if (tokenizer_path, remembered) not in installed._ENCODERS:
+        installed._ENCODERS[tokenizer_path, remembered] = installed.text_encoder(tokenizer_path, remembered)
+    return installed._ENCODERS[tokenizer_path, remembered]
 
 
 def write_token_files(
@@ -205,11 +206,14 @@ def write_token_files(
     id_column: str = "doc_id",
     text_column: str = "text",
     end_id: int = END_ID,
+    slice_bytes: int = 2 * SLICE_BYTES,
+    remembered: int = _REMEMBERED,
 ) -> DataFrame:
     """Encode texts and write their ids to files in ascending order of ids.
 
     Documents are range-partitioned and sorted by id; each task writes one file,
-    group by group, so it holds a slice of texts at a time. Every document ends
+    group by group, so it holds a slice of texts at a time, and what it remembers
+    of words: less of both takes less memory and more time. Every document ends
     with end_id, also an empty or null one. Null ids come first, rows that repeat
     an id stay together. A task that is run again writes a file of another name;
     the files that count are those of the returned manifest, which is itself
@@ -222,9 +226,9 @@ def write_token_files(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, sink, first, documents, total = f"{uuid.uuid4().hex}.s8b", None, None, 0, 0
         # Each slice's new words are sorted in among the remembered ones: rather fewer slices.
-        for batch in slices(batches, "text", 2 * SLICE_BYTES):
+        for batch in slices(batches, "text", slice_bytes):
             if sink is None:
-                encode = lasting_encoder(tokenizer_path)
+                encode = lasting_encoder(tokenizer_path, remembered)
                 store, path = store_of(folder)
                 store.create_dir(path, recursive=True)
                 sink = store.open_output_stream(f"{path}/{name}")
