@@ -361,6 +361,14 @@ def test_any_tokenizer_gives_its_own_ids(name):
         assert flat.tolist() == [i for ids in want for i in ids] and sizes.tolist() == list(map(len, want))
 
 
+def test_encoders_that_remember_little_give_the_same_ids():
+    texts = [" ".join(f"word{i} {WORDS[i % len(WORDS)]}, it's" for i in range(k, k + 50)).encode() for k in range(0, 200, 20)]
+    encode, forgetful = token_files.text_encoder(tokenizer_path()), token_files.text_encoder(tokenizer_path(), remembered=10)
+    for text in texts:
+        (ids, sizes), (same_ids, same_sizes) = encode([text]), forgetful([text])
+        assert ids.tolist() == same_ids.tolist() and sizes.tolist() == same_sizes.tolist()
+
+
 @pytest.mark.parametrize("top", [2, 200, 49_408, 1 << 40, (1 << 64) - 1])
 def test_simple8b_round_trip(top):
     for n in (0, 1, 511, 512, 513, 5000):
