@@ -1,5 +1,8 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables, clashing names."""
 
+import re
+import time
+
 import numpy as np
 import pytest
 
@@ -335,6 +338,59 @@ def test_lines_are_near_by_whole_distance_whatever_the_parts(spark):
     assert got == [5 * _distance(x, y) <= max(len(x), len(y)) for x, y in pairs] and len(set(got)) == 2
 
 
+def test_counts_of_characters_rule_out_no_line_that_is_near(spark):
+    rng = np.random.default_rng(11)
+    pairs = [("a" * 10, "a" * 8), ("a" * 10, "a" * 7 + "bcd"), ("e" * 10, "z" * 2 + "e" * 8), ("a" * 8, "a" * 10), ("a" * 7, "a" * 10)]
+    for length in (20, 60, 150):
+        for edits in (0.1, 0.2, 0.25):
+            x = "".join(rng.choice(list("etaonis rhlduézq"), length))
+            y = list(x)
+            for at in rng.choice(length, int(length * edits), replace=False):
+                y[at] = str(rng.choice(["", "q", "ez", "é"]))
+            pairs += [(x, "".join(y)), ("".join(y), x)]
+    lines = [(2 * i + k, t, len(t)) for i, pair in enumerate(pairs) for k, t in enumerate(pair)]
+    table = spark.createDataFrame(lines, "id BIGINT, line STRING, length INT")
+    counts = {r.id: (r.length, r.counts) for r in fuzzy_lines._counts(table, table.select("id")).collect()}
+    assert all(counts[i][0] == n == sum(counts[i][1]) for i, _, n in lines)
+    rows = [(*counts[2 * i], *counts[2 * i + 1]) for i in range(len(pairs))]
+    got = spark.createDataFrame(rows, "x_length INT, x_counts ARRAY<INT>, y_length INT, y_counts ARRAY<INT>").selectExpr(
+        fuzzy_lines._may_be_near("x", "y")
+    )
+    may = [r[0] for r in got.collect()]
+    assert may[:5] == [True, False, True, True, False]
+    assert all(may[i] for i, (x, y) in enumerate(pairs) if 5 * _distance(x, y) <= max(len(x), len(y)))
+
+
+def test_shared_sketches_hold_what_several_lines_have(spark):
+    # 1 << 40 differs from 2 << 40 in none of the bits counted first.
+    sketches = {1: [4, 8, 12, 1 << 40], 2: [4, 8, 16, 2 << 40], 3: [4, 20], 4: [24, 28], 5: []}
+    table = spark.createDataFrame(
+        [(i, 40, s, [], [], []) for i, s in sketches.items()],
+        "id BIGINT, length INT, sketch_0 ARRAY<BIGINT>, sketch_1 ARRAY<BIGINT>, sketch_2 ARRAY<BIGINT>, sketch_3 ARRAY<BIGINT>",
+    )
+    got = {r.id: (r.kind, r.length, r.least, r["keys"]) for r in fuzzy_lines._shared(table).collect()}
+    assert got == {1: (0, 40, 1, [4, 8]), 2: (0, 40, 1, [4, 8]), 3: (0, 40, 1, [4])}
+
+
+def test_lines_leave_no_shuffle_files_of_finished_steps(spark):
+    def shuffles():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {name for name in re.findall(r"shuffle_\d+_\d+_\d+\.data", blocks)}
+
+    docs = spark.createDataFrame([(i, f"{WORDS[i % 5]} line of words {i // 2} and {i} others") for i in range(40)], "doc_id BIGINT, text STRING")
+    before = shuffles()
+    freed = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    groups = fuzzy_line_groups(docs)
+    # Files are removed in the background.
+    for _ in range(100):
+        if not shuffles() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == freed
+    assert groups.count() == groups.count() == 40
+
+
 def test_tokens(docs):
     got = _by_id(token_index(docs, tokenizer_path()), "start", "n_tokens")
     assert len(got) == len(ROWS) and {r[0]: r[2] for r in got}[4] == 1
