@@ -336,6 +336,8 @@ def test_lines_are_near_by_whole_distance_whatever_the_parts(spark):
     rows = spark.createDataFrame([(x, y, len(x), len(y)) for x, y in pairs], "x STRING, y STRING, x_length INT, y_length INT")
     got = [r[0] for r in rows.selectExpr(fuzzy_lines._near_enough("x", "y")).collect()]
     assert got == [5 * _distance(x, y) <= max(len(x), len(y)) for x, y in pairs] and len(set(got)) == 2
+    for parts_from in (500, 3000):
+        assert got == [r[0] for r in rows.selectExpr(fuzzy_lines._near_enough("x", "y", parts_from)).collect()]
 
 
 def test_counts_of_characters_rule_out_no_line_that_is_near(spark):
