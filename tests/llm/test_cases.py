@@ -340,6 +340,48 @@ def test_lines_are_near_by_whole_distance_whatever_the_parts(spark):
         assert got == [r[0] for r in rows.selectExpr(fuzzy_lines._near_enough("x", "y", parts_from)).collect()]
 
 
+def test_ends_and_anchors_tell_lines_as_whole_distances_do(spark):
+    rng = np.random.default_rng(17)
+
+    def text(n):
+        return "".join(rng.choice(list("abcdefghijklmnopqrstu é"), n))
+
+    pairs = [("", "a"), ("é", "é"), ("abcd", "abc"), ("a" * 40, "a" * 8), ("a" * 8, "a" * 40)]
+    for n in (60, 150, 330):
+        x, repeated = text(n), text(9) * (n // 9)
+        pairs += [(text(n), text(n)), (text(n), text(n - n // 6)), (x, x[n // 2 :] + x[: n // 2])]
+        pairs += [(x, x[: n // 3] + text(n // 8) + x[n // 3 :]), (x, x[n // 7 :]), (x, x[: n // 2] + x[n // 2 + n // 8 :] + text(n // 9))]
+        for share in (0.03, 0.1, 0.18, 0.25):
+            for line in (x, repeated):
+                y = list(line)
+                for at in rng.choice(len(y), int(len(y) * share), replace=False):
+                    y[at] = str(rng.choice(["", "q", "zz"]))
+                pairs.append((line, "".join(y)))
+    pairs += [(y, x) for x, y in pairs[::2]]
+    near = [5 * _distance(x, y) <= max(len(x), len(y)) for x, y in pairs]
+    rows = spark.createDataFrame([(x, y, len(x), len(y)) for x, y in pairs], "x STRING, y STRING, x_length INT, y_length INT")
+    found = rows.selectExpr(fuzzy_lines._far("x", "y"), fuzzy_lines._near_by_anchors("x", "y"), fuzzy_lines._near_enough("x", "y", 200)).collect()
+    assert [r[2] for r in found] == near
+    assert not any(far and ok for (far, _, _), ok in zip(found, near)) and not any(by and not ok for (_, by, _), ok in zip(found, near))
+    # Without the whole distance: unrelated lines, and most that are near.
+    assert sum(far for far, _, _ in found) > 0.4 * near.count(False) and sum(by for _, by, _ in found) > 0.5 * near.count(True)
+
+
+def test_no_pair_of_lines_is_compared_twice(spark, monkeypatch):
+    compared, similar = [], fuzzy_lines._similar
+
+    def noted(pairs, *more):
+        compared.extend((r.a, r.b) for r in pairs.collect())
+        return similar(pairs, *more)
+
+    monkeypatch.setattr(fuzzy_lines, "_similar", noted)
+    words = [f"{a}{b}o" for a in "bcdfghjklm" for b in "aeiou"]
+    shared = "common words that many lines hold between others of their own"
+    rows = [(i, " ".join([*words[i : i + 8], shared, *words[i + 20 : i + 28]])) for i in range(0, 20, 4)]
+    groups = fuzzy_line_groups(spark.createDataFrame(rows, "doc_id BIGINT, text STRING")).collect()
+    assert all(r.kept for r in groups) and len(compared) == len(set(compared)) == 10
+
+
 def test_counts_of_characters_rule_out_no_line_that_is_near(spark):
     rng = np.random.default_rng(11)
     pairs = [("a" * 10, "a" * 8), ("a" * 10, "a" * 7 + "bcd"), ("e" * 10, "z" * 2 + "e" * 8), ("a" * 8, "a" * 10), ("a" * 7, "a" * 10)]
